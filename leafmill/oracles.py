@@ -1,0 +1,3 @@
+"""The SQL that must give the same rows as the query of that name."""
+
+ORACLES: dict[str, str] = {}

@@ -1,0 +1,9 @@
+"""Every query of the core by name: (spark, sf_dir) -> DataFrame."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
