@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import splitting, survivors
+from leafmill.llm import encodings, lookalikes, splitting, survivors
 from leafmill.session import table
 
 
@@ -16,6 +16,14 @@ def _spec(spark: SparkSession, sf_dir: str) -> dict[str, tuple[int, int]]:
     return {r.spec_name: (r.capacity, r.overlap_size) for r in table(spark, sf_dir, "size_spec").collect()}
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encodings.garbled(table(spark, sf_dir, "page_text"), "page_id", "text")
+
+
+def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encodings.restored(table(spark, sf_dir, "page_text"), "page_id", "text")
+
+
 def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.fuse(table(spark, sf_dir, "extraction_result")).select("file_id", "field", "result_id", "value", F.round("confidence", 6).alias("confidence"))
 
@@ -35,4 +43,12 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_pieces(spark, sf_dir).filter("n_pieces > 1").select("result_id").distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_survivors, p4_found, p6_pieces, p6_found)}
+def p9_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.consistent_forms(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.alike(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_restored, p4_survivors, p4_found, p6_pieces, p6_found, p9_forms, p9_found)}
