@@ -46,9 +46,9 @@ _SIMPLE = str.maketrans({**SIGNS, **LIGATURES, **ROMAN, **WIDE, **dict.fromkeys(
 _INVISIBLE = re.compile(f"[{''.join(c for c in INVISIBLE if c not in JOINERS)}\U000e0100-\U000e01ef]|(?<![\u0600-\u08ff\u0900-\u0dff\u2190-\u2bff\U0001f000-\U0001ffff])[{JOINERS}]")
 _TRAIL = re.compile(r"[ \t]+(?=\n|\Z)")
 _ODD = "".join(TO_LATIN)
-#: What a text must contain to need more than the replacements that Spark makes itself: anything but ASCII, the letters and
-#: signs of Latin-1 that stand for themselves, and common punctuation and Greek letters that no rule here touches.
-SPECIAL = r"[^\x{0}-\x{84}\x{86}-\x{9f}\x{a1}-\x{ac}\x{ae}-\x{ff}\x{2013}\x{2014}\x{2018}-\x{201e}\x{2026}\x{20ac}\x{2212}\x{2248}\x{2264}\x{2265}\x{394}\x{3b1}-\x{3b8}\x{3ba}-\x{3bc}\x{3c0}-\x{3c9}]"
+#: Texts that Spark can bring to form by itself: ASCII, the letters and signs of Latin-1 that stand for themselves, and
+#: common punctuation and Greek letters that no rule here touches.
+ORDINARY = r"\A[\x{0}-\x{84}\x{86}-\x{9f}\x{a1}-\x{ac}\x{ae}-\x{ff}\x{2013}\x{2014}\x{2018}-\x{201e}\x{2026}\x{20ac}\x{2212}\x{2248}\x{2264}\x{2265}\x{394}\x{3b1}-\x{3b8}\x{3ba}-\x{3bc}\x{3c0}-\x{3c9}]*\z"
 _WORD = re.compile(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*")
 _HAS_ODD = re.compile("[" + _ODD + "]")
 #: Token borders for the corpus vocabulary; the same words that _WORD finds.
@@ -153,7 +153,7 @@ def consistent_forms(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    special = F.coalesce(F.col("t").rlike(SPECIAL), F.lit(False))
+    special = F.col("t").isNotNull() & (F.octet_length("t") > F.length("t")) & ~F.col("t").rlike(ORDINARY)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -174,13 +174,15 @@ def consistent_forms(docs: DataFrame, key: str, text: str) -> DataFrame:
     hashed = odd.withColumn("h", F.xxhash64("form")).drop("words", "options")
     repaired = hashed.join(good, ["k", "h"]).select("k", "form", "good").mapInPandas(second, f"k {kind}, form string")
     kept = hashed.join(good, ["k", "h"], "left_anti").select("k", "form")
-    plain = rows.filter(~special).select("k", _jvm_form(F.col("t")).alias("form"))
+    plain = rows.filter(F.col("t").isNull() | ~special).select("k", _jvm_form(F.col("t")).alias("form"))
     return plain.unionByName(repaired).unionByName(kept).select(F.col("k").alias(key), "form")
 
 
 def _jvm_form(t: Column) -> Column:
     """plain_form for texts without special characters."""
-    return F.regexp_replace(F.replace(F.replace(t, F.lit("µ"), F.lit("μ")), F.lit("\r\n"), F.lit("\n")), r"[ \t]+(?=\n|\z)", "")
+    out = F.replace(F.replace(t, F.lit("µ"), F.lit("μ")), F.lit("\r\n"), F.lit("\n"))
+    trailing = out.contains(" \n") | out.contains("\t\n") | out.endswith(" ") | out.endswith("\t")
+    return F.when(trailing, F.regexp_replace(out, r"[ \t]+(?=\n|\z)", "")).otherwise(out)
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:

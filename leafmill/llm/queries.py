@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encodings, lookalikes, splitting, survivors
+from leafmill.llm import encodings, lookalikes, names, splitting, survivors
 from leafmill.session import table
 
 
@@ -16,6 +16,20 @@ def _spec(spark: SparkSession, sf_dir: str) -> dict[str, tuple[int, int]]:
     return {r.spec_name: (r.capacity, r.overlap_size) for r in table(spark, sf_dir, "size_spec").collect()}
 
 
+def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = table(spark, sf_dir, "crossref_work").select(F.lit("author").alias("kind"), F.explode("authors.name").alias("name"))
+    firms = table(spark, sf_dir, "ci_report").select(F.lit("company").alias("kind"), F.explode("companies_mentioned").alias("name"))
+    return people.unionByName(firms)
+
+
+def p2_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.linked(_mentions(spark, sf_dir))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.linked_pairs(_mentions(spark, sf_dir))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.garbled(table(spark, sf_dir, "page_text"), "page_id", "text")
 
@@ -51,4 +65,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.alike(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_restored, p4_survivors, p4_found, p6_pieces, p6_found, p9_forms, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p6_pieces, p6_found, p9_forms, p9_found)}
