@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encodings, lookalikes, names, splitting, survivors
-from leafmill.session import table
+from leafmill.llm import encodings, lookalikes, matching, mixing, names, packing, splitting, survivors, tokens
+from leafmill.session import materialize, table
 
 
 def _spec(spark: SparkSession, sf_dir: str) -> dict[str, tuple[int, int]]:
@@ -48,6 +48,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.fuse(runs).join(several, "file_id", "left_semi").select("file_id", "field", "result_id")
 
 
+def p5_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = ("title", "year", "journal", "volume", "pages", "doi")
+    papers = table(spark, sf_dir, "paper_meta").select(F.col("paper_id").alias("id"), F.when(F.size("authors") > 0, F.col("authors")).otherwise(F.array("first_author")).alias("names"), *shared)
+    works = table(spark, sf_dir, "crossref_work").select(F.col("work_id").alias("id"), F.col("authors.name").alias("names"), *shared)
+    return matching.match(papers, works).select(F.col("query").alias("paper_id"), F.col("record").alias("work_id"), F.round("confidence", 6).alias("confidence"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_matches(spark, sf_dir).select("paper_id", "work_id").distinct()
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacity, overlap = _spec(spark, sf_dir)["chunk"]
     return splitting.split_oversized(table(spark, sf_dir, "extraction_result"), "result_id", "text", capacity, overlap)
@@ -57,6 +68,31 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_pieces(spark, sf_dir).filter("n_pieces > 1").select("result_id").distinct()
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = [(n, c, o) for n, (c, o) in sorted(_spec(spark, sf_dir).items()) if n.startswith("pack")]
+    sized = tokens.with_tokens(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    packed = packing.pack(packing.cut_items(sized, "doc_id", specs))
+    return packed.select("spec_name", "container_id", F.col("item").alias("doc_id"), "piece_no", "start_at", "size", "capacity")
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill(p7_containers(spark, sf_dir))
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = materialize(tokens.with_tokens(docs, "text", ["doc_id", "source"]), "sized")
+    return mixing.mix(sized, table(spark, sf_dir, "mix_target"), "doc_id")
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(materialize(_mixed(spark, sf_dir), "mixed"), table(spark, sf_dir, "mix_target"))
+
+
 def p9_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.consistent_forms(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -65,4 +101,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.alike(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p6_pieces, p6_found, p9_forms, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p5_matches, p5_found, p6_pieces, p6_found, p7_containers, p7_fill, p8_mix, p8_shares, p9_forms, p9_found)}
