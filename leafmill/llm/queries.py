@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encodings, lookalikes, matching, mixing, names, packing, splitting, survivors, tokens
+from leafmill.llm import encodings, lookalikes, matching, mixing, names, packing, scans, splitting, survivors, tokens
 from leafmill.session import materialize, table
 
 
@@ -16,6 +16,15 @@ def _spec(spark: SparkSession, sf_dir: str) -> dict[str, tuple[int, int]]:
     return {r.spec_name: (r.capacity, r.overlap_size) for r in table(spark, sf_dir, "size_spec").collect()}
 
 
+def p1_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired(table(spark, sf_dir, "page_text"), "page_id", "file_id", "page_num", "text", "needs_ocr")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = scans.repaired(table(spark, sf_dir, "page_text"), "page_id", "file_id", "page_num", "text", "needs_ocr", want_text=False)
+    return judged.select("page_id", F.explode("defects").alias("defect")).distinct()
+
+
 def _mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "crossref_work").select(F.lit("author").alias("kind"), F.explode("authors.name").alias("name"))
     firms = table(spark, sf_dir, "ci_report").select(F.lit("company").alias("kind"), F.explode("companies_mentioned").alias("name"))
@@ -101,4 +110,4 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.alike(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p5_matches, p5_found, p6_pieces, p6_found, p7_containers, p7_fill, p8_mix, p8_shares, p9_forms, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_paragraphs, p1_found, p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p5_matches, p5_found, p6_pieces, p6_found, p7_containers, p7_fill, p8_mix, p8_shares, p9_forms, p9_found)}
