@@ -15,6 +15,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,15 +110,27 @@ def _bucket(n: float) -> int:
     return min(9, max(0, int(n).bit_length() // 2))
 
 
-def features(word: str, op: tuple[str, str, int, str], known: dict[str, int], trusted_least: int, votes: int, hint: bool) -> list[str]:
-    """Features of an edit: what it is and where, the frequency of both words, and how often its like occurs on the page."""
+def lasting(word: str, op: tuple[str, str, int, str], known: dict[str, int], trusted_least: int) -> tuple[list[str], str, str]:
+    """Features of an edit that don't depend on the page (what it is, where, how frequent both words are), shape, ratio."""
     kind, what, at, made = op
     own, new = known.get(word, 0), known.get(made, 0)
     odd = sum(not c.isalpha() for c in word)
     shape = f"{'A' if word[:1].isupper() else 'a'}{min(odd, 2)}{int(any(c.isupper() for c in word[1:]) and any(c.islower() for c in word))}"
-    ratio = _bucket(new / max(own, trusted_least / 2))
+    ratio = f"r:{_bucket(new / max(own, trusted_least / 2))}"
     left, right = word[at - 1 : at] or "^", word[at + len(what.split(">")[0]) :][:1] or "$"
-    return ["bias", f"k:{kind}", f"w:{what}", f"r:{ratio}", f"n:{_bucket(new)}", f"o:{_bucket(own)}", f"s:{shape}", f"v:{min(votes, 5)}", f"len:{min(len(word), 10)}", f"w:{what} r:{ratio}", f"s:{shape} v:{min(votes, 3)}", f"v:{min(votes, 5)} r:{ratio}", f"h:{int(hint)} v:{min(votes, 3)}", f"w:{what} l:{left}", f"w:{what} x:{right}", f"len:{min(len(word), 10)} r:{ratio}"]
+    size = min(len(word), 10)
+    return ["bias", f"k:{kind}", f"w:{what}", ratio, f"n:{_bucket(new)}", f"o:{_bucket(own)}", f"s:{shape}", f"len:{size}", f"w:{what} {ratio}", f"w:{what} l:{left}", f"w:{what} x:{right}", f"len:{size} {ratio}"], f"s:{shape}", ratio
+
+
+def passing(shape: str, ratio: str, votes: int, hint: bool) -> list[str]:
+    """Features of an edit from the page: how often its like occurs there, and the hint."""
+    few = min(votes, 3)
+    return [f"v:{min(votes, 5)}", f"{shape} v:{few}", f"v:{min(votes, 5)} {ratio}", f"h:{int(hint)} v:{few}"]
+
+
+def features(word: str, op: tuple[str, str, int, str], known: dict[str, int], trusted_least: int, votes: int, hint: bool) -> list[str]:
+    always, shape, ratio = lasting(word, op, known, trusted_least)
+    return always + passing(shape, ratio, votes, hint)
 
 
 def damage(words: list[str], rng: random.Random) -> list[tuple[str, str]]:
@@ -177,6 +190,8 @@ def train(pages: list[str], known: dict[str, int], trusted_least: int) -> dict[s
 
 _FOLD_MANY = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("vv", "w"), ("li", "h")]
 _FOLD_ONE = str.maketrans({"c": "e", "(": "e", "1": "i", "!": "i", "l": "i", "t": "i", "f": "i", "|": "i", "0": "o", "a": "o", "q": "o", "$": "s", "5": "s", "9": "g", "b": "h", "8": "h", "~": "", "'": "", ".": "", "`": "", ",": ""})
+_DIGIT = re.compile(r"\d")
+_APART = re.compile(r"(?<![^\W\d_])\d+(?![^\W\d_])")
 _RUNNING = re.compile(r"^(?:(?P<lead>[\dlIOSo!|$]{1,5})\s{2,}(?P<rest1>\S.*)|(?P<rest2>.*\S)\s{2,}(?P<trail>[\dlIOSo!|$]{1,5}))$")
 _PAGE = [
     re.compile(r"^\[\s*([\dlIOSoBi!|$]{1,5})\s*\]$"),
@@ -190,15 +205,26 @@ _ROMAN = re.compile(r"^(?=[ivxlIl!1|]{1,7}$)x{0,3}(?:[i1l!I|]x|[i1l!I|]v|v?[i1l!
 _ROMAN_VALUE = {"i": 1, "v": 5, "x": 10}
 
 
+#: Characters at the beginning of a line by which inner lines are counted.
+HEAD = 28
+
+
 def folded_line(line: str) -> str:
-    """A line under which all its misreadings fall together; numbers become #."""
-    s = re.sub(r"(?<![^\W\d_])\d+(?![^\W\d_])", "#", line.strip().lower())
-    s = re.sub(r"\s+", " ", s)
+    """The shape of a line, under which all its misreadings fall together; numbers become #."""
+    s = " ".join(line.lower().split())
+    if _DIGIT.search(s):
+        s = _APART.sub("#", s)
     for many, one in _FOLD_MANY:
-        s = s.replace(many, one)
+        if many in s:
+            s = s.replace(many, one)
     return s.translate(_FOLD_ONE)
 
 
+def folded_head(line: str) -> str:
+    """The shape of a line's beginning: lines that break at other places still share it."""
+    return folded_line(line[: HEAD + 8])[:HEAD]
+
+
 def _value(digits: str) -> int:
     made = digits.translate(_DIGITS)
     return int(made) if made.isdigit() else -1
@@ -278,10 +304,12 @@ def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offset
     return out
 
 
-def line_key(line: str) -> int:
-    import xxhash
+def _key(shape: str) -> int:
+    return xxhash.xxh3_64_intdigest(shape) - (1 << 63)
+
 
-    return xxhash.xxh3_64_intdigest(folded_line(line)) - (1 << 63)
+def line_key(line: str) -> int:
+    return _key(folded_line(line))
 
 
 def cut_word(left: str, mark: str, right: str, known: dict[str, int]) -> bool:
@@ -314,21 +342,43 @@ def cut_word(left: str, mark: str, right: str, known: dict[str, int]) -> bool:
 _CUT = re.compile(r"(\S*[^\W\d_])([-‐‑¬\xad—–~])[.,'|~]?$")
 
 
+def trusted_words(known: dict[str, int]) -> set[str]:
+    """Known words that no single edit turns into a word that is RATIO times as frequent."""
+    return {w for w, n in known.items() if not operations(w, known, RATIO * n)}
+
+
 class Editor:
     """Judges one page at a time; holds what all pages share."""
 
-    def __init__(self, known: dict[str, int], trusted_least: int, weights: dict[str, dict[str, float]]) -> None:
+    #: Words whose edits are remembered, at most.
+    REMEMBERED = 200_000
+
+    def __init__(self, known: dict[str, int], trusted_least: int, weights: dict[str, dict[str, float]], trusted: set[str] | None = None) -> None:
         self.known, self.least = known, trusted_least
         self.weights = weights.get("edit", {})
-        self.trusted = {w for w, n in known.items() if not operations(w, known, RATIO * n)}
+        self.trusted = trusted_words(known) if trusted is None else trusted
+        self.seen: dict[str, tuple[str, list]] = {}
 
     def _good(self, feats: list[str]) -> float:
         w = self.weights
         return sum([w.get(f, 0.0) for f in feats])
 
+    def _ops(self, token: str) -> tuple[str, list]:
+        """(word of the token, its edits with the page-independent part of their score)."""
+        known = self.known
+        c = standing(token, known)
+        if len(c) < 2 or _CODE.match(c) or not _LETTERS.search(c):
+            return c, []
+        n = known.get(c, 0)
+        out = []
+        for o in operations(c, known, RATIO * n if n else self.least):
+            always, shape, ratio = lasting(c, o, known, self.least)
+            out.append((o, self._good(always), shape, ratio))
+        return c, out
+
     def edits(self, lines: list[str], skip: set[int], loose: set[tuple[int, int]], hint: bool) -> tuple[dict[tuple[int, int], str], set[tuple[int, int]]]:
         """({(line, token): repaired word}, tokens to join with the next one)."""
-        known, trusted = self.known, self.trusted
+        known, trusted, seen = self.known, self.trusted, self.seen
         cases, joins = [], set()
         for i, line in enumerate(lines):
             if i in skip:
@@ -337,35 +387,38 @@ class Editor:
             for j, token in enumerate(tokens):
                 if token in trusted or (i, j) in loose:
                     continue
-                c = core(token)
-                if c in trusted or len(c) < 2:
-                    continue
-                c = standing(token, known)
-                if _CODE.match(c) or not _LETTERS.search(c):
-                    continue
-                n = known.get(c, 0)
-                ops = operations(c, known, RATIO * n if n else self.least)
+                found = seen.get(token)
+                if found is None:
+                    bare = core(token)
+                    if bare in trusted:
+                        found = (bare, None)
+                    else:
+                        found = self._ops(token)
+                    if len(seen) >= self.REMEMBERED:
+                        seen.clear()
+                    seen[token] = found
+                c, ops = found
                 if ops:
                     cases.append((i, j, c, ops))
-                elif not n and c.isalpha():
+                elif ops is not None and len(c) > 1 and c.isalpha() and c not in known:
                     for a, b, at in ((j, j + 1, j), (j - 1, j, j - 1)):
                         if 0 <= a and b < len(tokens) and (i, at) not in joins and (i, a) not in loose and (i, b) not in loose:
                             x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
                             if x.isalpha() and y.isalpha() and known.get(x + y, 0) > max(self.least, RATIO * min(known.get(x, 0), known.get(y, 0))) and not (known.get(x, 0) and known.get(y, 0)):
                                 joins.add((i, at))
                                 break
-        votes = Counter(w for *_, ops in cases for w in {o[1] for o in ops})
+        votes = Counter(w for *_, ops in cases for w in {o[0][1] for o in ops})
         # A short word can be another language's; it is edited only as longer words of the page are.
-        firm = {w for _, _, c, ops in cases if len(c) > 3 or not c.isalpha() for w in {o[1] for o in ops}}
+        firm = {w for _, _, c, ops in cases if len(c) > 3 or not c.isalpha() for w in {o[0][1] for o in ops}}
         out = {}
         for i, j, c, ops in cases:
             if len(c) <= 3 and c.isalpha():
-                ops = [o for o in ops if o[1] in firm and votes[o[1]] > 1]
+                ops = [o for o in ops if o[0][1] in firm and votes[o[0][1]] > 1]
                 if not ops:
                     continue
             if (i, j) in joins or (i, j - 1) in joins:
                 continue
-            best, score = max(((o, self._good(features(c, o, known, self.least, votes[o[1]], hint))) for o in ops), key=lambda x: x[1])
+            best, score = max(((o, base + self._good(passing(shape, ratio, votes[o[1]], hint))) for o, base, shape, ratio in ops), key=lambda x: x[1])
             if score > 0:
                 out[(i, j)] = best[3]
         return out, joins
@@ -449,7 +502,8 @@ class Editor:
 def _survey(pages: DataFrame) -> DataFrame:
     """One pass: counts of words, edge lines by file and page, inner lines, and offsets of printed numbers.
 
-    Rows (kind, file, word, h, page, n): 'w' a word; 'e' an edge line; 'm' an inner line; 'o' an offset in h.
+    Rows (kind, file, word, h, page, n): 'w' a word; 'e' an edge line, its beginning in n; 'm' the beginning of an inner
+    line in h; 'o' an offset in h.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -464,26 +518,24 @@ def _survey(pages: DataFrame) -> DataFrame:
                 for i in spots:
                     rest, number = split_running(lines[i])
                     if len(lines[i].strip()) <= LONGEST:
-                        rows.append(("e", f, None, line_key(rest), n, 1))
+                        rows.append(("e", f, None, line_key(rest), n, _key(folded_head(rest))))
                     offset, sure = page_number(lines[i].strip(), n)
                     if sure and offset != -99 or number:
                         rows.append(("o", f, None, offset if sure else _value(number) - n, n, 1))
-                inner.update(folded_line(x) for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST)
+                inner.update(folded_head(x) for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST)
             yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n"])
             if len(words) > 300_000 or len(inner) > 300_000:
                 yield from flush(words, inner)
         yield from flush(words, inner)
 
     def flush(words: Counter, inner: Counter) -> Iterator[pd.DataFrame]:
-        import xxhash
-
         cores: Counter = Counter()
         for w, n in words.items():
             c = core(w)
             if len(c) > 1 and _LETTERS.search(c):
                 cores[c] += n
         yield pd.DataFrame({"kind": "w", "file": None, "word": list(cores), "h": None, "page": None, "n": list(cores.values())})
-        yield pd.DataFrame({"kind": "m", "file": None, "word": None, "h": [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in inner], "page": None, "n": list(inner.values())})
+        yield pd.DataFrame({"kind": "m", "file": None, "word": None, "h": [_key(x) for x in inner], "page": None, "n": list(inner.values())})
         words.clear()
         inner.clear()
 
@@ -492,15 +544,16 @@ def _survey(pages: DataFrame) -> DataFrame:
 
 
 def _furniture(survey: DataFrame, pages_of: DataFrame) -> DataFrame:
-    """(f, furniture, offsets) by file. A file's own furniture is on at least 2 of its pages and 2 % of them, so there
-    are at most 200 shapes; what is furniture of the corpus is on at least 0.1 % of a file's share likewise."""
-    edge = survey.filter("kind = 'e'").select(F.col("file").alias("f"), "h", "page").distinct()
-    by_file = edge.groupBy("f", "h").agg(F.count("*").alias("n"))
+    """(f, furniture, offsets) by file. A file's own furniture is on at least 2 of its pages and a tenth of them, so there
+    are at most 40 shapes; what is furniture of several files needs half a percent of the pages only."""
+    edge = survey.filter("kind = 'e'").select(F.col("file").alias("f"), "h", "page", F.col("n").alias("head")).distinct()
+    by_file = edge.groupBy("f", "h", "head").agg(F.count("*").alias("n"))
     corpus = by_file.groupBy("h").agg(F.sum("n").alias("all"), F.count("*").alias("files"))
-    inner = survey.filter("kind = 'm'").groupBy("h").agg(F.sum("n").alias("inner"))
-    judged = by_file.join(corpus, "h").join(inner, "h", "left").join(pages_of, "f").withColumn("inner", F.coalesce("inner", F.lit(0)))
-    own = (F.col("n") >= 2) & (F.col("n") >= 0.02 * F.col("pages")) & (F.col("inner") <= 0.2 * F.col("all"))
-    shared = (F.col("files") >= 2) & (F.col("all") >= 4) & (F.col("inner") <= 0.05 * F.col("all")) & (F.col("n") >= 0.005 * F.col("pages"))
+    heads = by_file.groupBy("head").agg(F.sum("n").alias("at_edge"))
+    inner = survey.filter("kind = 'm'").groupBy(F.col("h").alias("head")).agg(F.sum("n").alias("inner"))
+    judged = by_file.join(corpus, "h").join(heads, "head").join(inner, "head", "left").join(pages_of, "f").withColumn("inner", F.coalesce("inner", F.lit(0)))
+    own = (F.col("n") >= 2) & (F.col("n") >= 0.1 * F.col("pages")) & (F.col("inner") <= 0.2 * F.col("at_edge"))
+    shared = (F.col("files") >= 2) & (F.col("all") >= 4) & (F.col("inner") <= 0.05 * F.col("at_edge")) & (F.col("n") >= 0.005 * F.col("pages"))
     lines = judged.filter(own | shared).groupBy("f").agg(F.collect_set("h").alias("furniture"))
     offset = survey.filter("kind = 'o'").filter(F.abs("h") < 100_000).select(F.col("file").alias("f"), "h", "page").distinct().groupBy("f", "h").agg(F.count("*").alias("n")).join(pages_of, "f")
     offsets = offset.filter((F.col("n") >= 2) & (F.col("n") >= 0.05 * F.col("pages"))).groupBy("f").agg(F.collect_set("h").alias("offsets"))
@@ -525,7 +578,7 @@ def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, ne
     known = {r.word: r.n for r in counts.collect()}
     clean = full.filter(~F.col("hint")).orderBy(F.xxhash64("k"), "k").limit(TRAINING_PAGES).select("t")
     weights = train([r.t for r in clean.collect()], known, least)
-    shared = pages.sparkSession.sparkContext.broadcast((known, least, weights))
+    shared = pages.sparkSession.sparkContext.broadcast((known, least, weights, trusted_words(known)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         editor = Editor(*shared.value)
