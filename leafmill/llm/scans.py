@@ -189,7 +189,7 @@ def train(pages: list[str], known: dict[str, int], trusted_least: int) -> dict[s
 # ---------------------------------------------------------------- furniture
 
 _FOLD_MANY = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("vv", "w"), ("li", "h")]
-_FOLD_ONE = str.maketrans({"c": "e", "(": "e", "1": "i", "!": "i", "l": "i", "t": "i", "f": "i", "|": "i", "0": "o", "a": "o", "q": "o", "$": "s", "5": "s", "9": "g", "b": "h", "8": "h", "~": "", "'": "", ".": "", "`": "", ",": ""})
+_FOLD_ONE, _FOLD_AWAY = bytes.maketrans(b"c(1!ltf|0aq$59b8", b"eeiiiiiiooossghh"), b"~'.`,"
 _DIGIT = re.compile(r"\d")
 _APART = re.compile(r"(?<![^\W\d_])\d+(?![^\W\d_])")
 _RUNNING = re.compile(r"^(?:(?P<lead>[\dlIOSo!|$]{1,5})\s{2,}(?P<rest1>\S.*)|(?P<rest2>.*\S)\s{2,}(?P<trail>[\dlIOSo!|$]{1,5}))$")
@@ -206,10 +206,10 @@ _ROMAN_VALUE = {"i": 1, "v": 5, "x": 10}
 
 
 #: Characters at the beginning of a line by which inner lines are counted.
-HEAD = 28
+HEAD = 20
 
 
-def folded_line(line: str) -> str:
+def folded_line(line: str) -> bytes:
     """The shape of a line, under which all its misreadings fall together; numbers become #."""
     s = " ".join(line.lower().split())
     if _DIGIT.search(s):
@@ -217,10 +217,10 @@ def folded_line(line: str) -> str:
     for many, one in _FOLD_MANY:
         if many in s:
             s = s.replace(many, one)
-    return s.translate(_FOLD_ONE)
+    return s.encode("utf-8", "surrogatepass").translate(_FOLD_ONE, _FOLD_AWAY)
 
 
-def folded_head(line: str) -> str:
+def folded_head(line: str) -> bytes:
     """The shape of a line's beginning: lines that break at other places still share it."""
     return folded_line(line[: HEAD + 8])[:HEAD]
 
@@ -239,6 +239,8 @@ def _roman(line: str) -> int:
 
 def page_number(line: str, page_num: int) -> tuple[int, bool]:
     """(offset of a printed number from the place of the page, whether its form alone tells it is one); offset -99 if none."""
+    if len(line) > 24:
+        return -99, False
     for form in _PAGE:
         m = form.match(line)
         if m:
@@ -266,12 +268,13 @@ def edges(lines: list[str]) -> list[tuple[int, int]]:
 
 def split_running(line: str) -> tuple[str, str]:
     """(line without a number set apart at its end or start, the number or '')."""
-    m = _RUNNING.match(line.strip())
+    line = line.strip()
+    m = _RUNNING.match(line) if "  " in line and len(line) <= 2 * LONGEST else None
     if m:
         number = m.group("lead") or m.group("trail")
-        if any(c.isdigit() for c in number):
+        if _DIGIT.search(number):
             return (m.group("rest1") or m.group("rest2")).strip(), number
-    return line.strip(), ""
+    return line, ""
 
 
 def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offsets: set[int]) -> dict[int, set[str]]:
@@ -288,7 +291,7 @@ def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offset
             continue
         line = lines[i].strip()
         offset, sure = page_number(line, page_num)
-        digits = any(c.isdigit() for c in line)
+        digits = _DIGIT.search(line) is not None
         # A bare number at the very edge is a page's unless it ends a column of numbers.
         beside = lines[at[{0: 1, -1: -2}[pos]]].strip() if outer is None and {0: 1, -1: -2}[pos] in at else ""
         alone = outer is None and digits and beside and not re.fullmatch(r"[\d.,\s%]+", beside)
@@ -304,7 +307,7 @@ def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offset
     return out
 
 
-def _key(shape: str) -> int:
+def _key(shape: bytes) -> int:
     return xxhash.xxh3_64_intdigest(shape) - (1 << 63)
 
 
@@ -434,7 +437,8 @@ class Editor:
         for i in range(len(lines) - 1):
             if i in skip or i + 1 in skip:
                 continue
-            m = _CUT.search(lines[i].rstrip())
+            end = lines[i].rstrip()
+            m = _CUT.search(end[-60:]) if end and (end[-1] in HYPHENS or end[-2:-1] in HYPHENS and end[-2:-1]) else None
             if m:
                 after = lines[i + 1].split(None, 1)
                 before = lines[i].split()
