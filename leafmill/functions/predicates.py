@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leafmill.functions.scoring import words
 from leafmill.functions.text import strip
 
-REFERENCES_HEADER = r"(?m)^\s*(REFERENCES|BIBLIOGRAPHY|LITERATURE\s+CITED|References|Bibliography)\s*\n"
+REFERENCES_HEADER = r"(?md)^\s*(REFERENCES|BIBLIOGRAPHY|LITERATURE\s+CITED|References|Bibliography)\s*\n"
 SEARCH_REPORT = r"(?i)INTERNATIONAL\s+SEARCH\s+REPORT|Patent\s+family\s+members"
 SMILES = r"^[A-Za-z0-9@+\-\[\]()=#$/\\.%:]+$"
 # Marks of how far a text may be shown, most open first.

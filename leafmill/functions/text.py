@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The patterns below must find what their names say; (?m) ends a line at \n only through (?d).
+# The patterns below must find what their names say; (?d) lets only \n end a line. Word borders are spelled
+# out: Java's \b knows letters beyond ASCII, \W doesn't.
 MARKDOWN_NOISE = r"[*_`#\x{FFFD}]+"
 DOI = r"10\.\d{4,}/[A-Za-z0-9][A-Za-z0-9\-._/:]*"
 TOKEN = "[a-z0-9]{3,}"
 YEAR = r"(19[89]\d|20[012]\d)"
-PAGE_HEADER = r"(?m)^(WO|EP|US) *\d{4}/?\d+ *(PCT/[A-Z]{2}\d{4}/\d+)? *$"
-MARGIN_NUMBER = r'(?m)^(5|10|15|20|25|30|35|40|45|50) +([A-Za-z("])'
-STRAY_LETTER = r"(?m)^[ \t]*[A-Z|l1][ \t]*$"
-STRAY_SIGNS = r"(?m)^[ \t]*[!-/:-@\[-`{-~]{1,3}[ \t]*$"
+PAGE_HEADER = r"(?md)^(WO|EP|US) *\d{4}/?\d+ *(PCT/[A-Z]{2}\d{4}/\d+)? *$"
+MARGIN_NUMBER = r'(?md)^(5|10|15|20|25|30|35|40|45|50) +([A-Za-z("])'
+STRAY_LETTER = r"(?md)^[ \t]*[A-Z|l1][ \t]*$"
+STRAY_SIGNS = r"(?md)^[ \t]*[!-/:-@\[-`{-~]{1,3}[ \t]*$"
 BOILERPLATE = (
-    r"(?m)^.{5,}\.{3,}[ \t]*\d+[ \t]*$",
+    r"(?md)^[^\n]{5,}\.{3,}[ \t]*\d+[ \t]*$",
     r"(?i)Page +\d+ +of +\d+",
-    r"(?im)^[ \t]*copyright[ \t]+\d{4}.{0,200}$",
-    r"(?im)^[ \t]*all[ \t]+rights[ \t]+reserved.{0,100}$",
-    r"(?im)^[ \t]*(confidential|proprietary)[ \t.]*$",
-    r"(?im)^[ \t]*inquiries[ \t]+to:.{0,80}$",
+    r"(?imd)^[ \t]*copyright[ \t]+\d{4}[^\n]{0,200}$",
+    r"(?imd)^[ \t]*all[ \t]+rights[ \t]+reserved[^\n]{0,100}$",
+    r"(?imd)^[ \t]*(confidential|proprietary)[ \t.]*$",
+    r"(?imd)^[ \t]*inquiries[ \t]+to:[^\n]{0,80}$",
 )
 # Misread words of chemical texts and what they stand for, applied in this order anywhere in a text.
 MISREAD_WORDS = (
@@ -52,11 +53,11 @@ SPACING = (
     (r"(\))([A-Z])", "$1 $2"),
     (r"([a-z]\.)([A-Z][a-z]{2,})", "$1 $2"),
     (r",([A-Z][a-z]{2,})", ", $1"),
-    (r"\bof([^f\s][a-z]{5,})", "of $1"),
-    *((rf"\b{a}\b", b) for a, b in MERGED_WORDS),
-    (r"\btheir([a-z]{4,})", "their $1"),
-    (r"\b([a-z]{4,}ly)(targeting|binding|acting|reducing|promoting|explaining)\b", "$1 $2"),
-    (r"\b([a-z]{4,}ly)(expressed|described|developed|produced|achieved|reported)\b", "$1 $2"),
+    (r"(^|\W)of([^f\s][a-z]{5,})", "$1of $2"),
+    *((rf"(^|\W){a}(\W|$)", rf"$1{b}$2") for a, b in MERGED_WORDS),
+    (r"(^|\W)their([a-z]{4,})", "$1their $2"),
+    (r"(^|\W)([a-z]{4,}ly)(targeting|binding|acting|reducing|promoting|explaining)(\W|$)", "$1$2 $3$4"),
+    (r"(^|\W)([a-z]{4,}ly)(expressed|described|developed|produced|achieved|reported)(\W|$)", "$1$2 $3$4"),
 )
 # Sentences of poster templates.
 TEMPLATE_LINES = (

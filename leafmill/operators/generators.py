@@ -48,7 +48,11 @@ def longest_caption(rows: DataFrame, key: str) -> DataFrame:
 
 def metrics(df: DataFrame, key: str, text: str, most: int | None = None) -> DataFrame:
     """(key, kind, value, ord) of each stated figure, once per value and key in the order of METRICS; the first ``most``."""
-    found = F.concat(*[F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(p), 0), lambda v, i, k=k, n=n: F.struct(F.lit(n).alias("k"), i.alias("i"), F.lit(k).alias("kind"), v.alias("value"))) for n, (k, p) in enumerate(METRICS)])
+
+    def of(n: int, kind: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(pattern), 0), lambda v, i: F.struct(F.lit(n).alias("k"), i.alias("i"), F.lit(kind).alias("kind"), v.alias("value")))
+
+    found = F.concat(*[of(n, k, p) for n, (k, p) in enumerate(METRICS)])
     rows = df.select(key, F.explode(found).alias("m")).select(key, "m.k", "m.i", "m.kind", "m.value")
     once = rows.withColumn("__n", F.row_number().over(Window.partitionBy(key, "value").orderBy("k", "i"))).filter("__n = 1")
     placed = once.withColumn("ord", F.row_number().over(Window.partitionBy(key).orderBy("k", "i")))
