@@ -61,8 +61,10 @@ def patents(pages: DataFrame, key: str, page_num: str, text: str) -> DataFrame:
     roots = trees(claims.select(key, "number", "depends_on"), "number", "depends_on", key)
     counted = claims.groupBy(key).agg(F.count("*").alias("claims"), F.count_if("is_independent").alias("independent"), F.count_if(~F.col("is_independent")).alias("dependent"))
     rooted = roots.groupBy(key).agg(F.count_distinct("root").alias("trees"))
-    rows = docs.join(counted, key, "left").join(rooted, key, "left").fillna(0, ["claims", "independent", "dependent", "trees"])
-    number, ids = X.patent_number(F.col("text")), T.ids(F.col("text"))
+    # Cleaning takes away the page headers, which print the number.
+    numbers = pages.select(key, page_num, X.patent_number(F.col(text)).alias("number")).filter("number is not null").groupBy(key).agg(F.min_by("number", page_num).alias("number"))
+    rows = docs.join(counted, key, "left").join(rooted, key, "left").join(numbers, key, "left").fillna(0, ["claims", "independent", "dependent", "trees"])
+    number, ids = F.col("number"), T.ids(F.col("text"))
     zero = F.lit(0)
     score = Q.patent_score(Q.flag(number.isNotNull()), F.col("claims"), F.col("independent"), F.col("dependent"), zero, zero, zero, F.size(ids), zero, zero, zero)
     return rows.select(key, number.alias("number"), "claims", "independent", "dependent", "trees", ids.alias("compounds"), score.alias("score"), Q.grade(score).alias("grade"))
