@@ -527,7 +527,8 @@ def _survey(pages: DataFrame) -> DataFrame:
                     if sure and offset != -99 or number:
                         rows.append(("o", f, None, offset if sure else _value(number) - n, n, 1))
                 inner.update(folded_head(x) for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST)
-            yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n"])
             if len(words) > 300_000 or len(inner) > 300_000:
                 yield from flush(words, inner)
         yield from flush(words, inner)
@@ -538,8 +539,11 @@ def _survey(pages: DataFrame) -> DataFrame:
             c = core(w)
             if len(c) > 1 and _LETTERS.search(c):
                 cores[c] += n
-        yield pd.DataFrame({"kind": "w", "file": None, "word": list(cores), "h": None, "page": None, "n": list(cores.values())})
-        yield pd.DataFrame({"kind": "m", "file": None, "word": None, "h": [_key(x) for x in inner], "page": None, "n": list(inner.values())})
+        # An empty frame has no types that Arrow could take for those of the schema.
+        if cores:
+            yield pd.DataFrame({"kind": "w", "file": None, "word": list(cores), "h": None, "page": None, "n": list(cores.values())})
+        if inner:
+            yield pd.DataFrame({"kind": "m", "file": None, "word": None, "h": [_key(x) for x in inner], "page": None, "n": list(inner.values())})
         words.clear()
         inner.clear()
 
