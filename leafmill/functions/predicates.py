@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leafmill.functions.scoring import words
-from leafmill.functions.text import strip
+from leafmill.functions.text import once, strip
 
 REFERENCES_HEADER = r"(?md)^\s*(REFERENCES|BIBLIOGRAPHY|LITERATURE\s+CITED|References|Bibliography)\s*\n"
 SEARCH_REPORT = r"(?i)INTERNATIONAL\s+SEARCH\s+REPORT|Patent\s+family\s+members"
@@ -15,12 +15,12 @@ SMILES = r"^[A-Za-z0-9@+\-\[\]()=#$/\\.%:]+$"
 PUBLIC_MARKS = r"for\s+public\s+release|non[\s\-]?confidential"
 SECRET_MARKS = r"top\s+secret|strictly\s+confidential"
 CONFIDENTIAL_MARKS = r"confidential|for\s+internal\s+use\s+only|not\s+for\s+distribution|proprietary|do\s+not\s+distribute|do\s+not\s+copy"
-# Words that tell what a deck is about.
+# Words that tell what a deck is about; whole words count.
 CONTENT_WORDS = {
-    "external": "partner|collaboration|alliance|joint|cro|vendor|external|contractor|outsourc|co-develop",
-    "project": "compound|molecule|target|inhibitor|mechanism|discovery|preclinical|clinical|pipeline|candidate|assay|screen|sar|selectivity|potency|ic50",
-    "academic": "patient|study|trial|efficacy|endpoint|cohort|publication|abstract|poster|congress|asco|aacr|esmo|hypothesis|method|results|conclusion|p-value",
-    "operational": "update|status|progress|timeline|milestone|deliverable|team|resource|budget|plan|roadmap|strategy|meeting|review|decision|action|department",
+    "external": "partner collaboration alliance joint cro vendor external contractor outsourc codevelop",
+    "project": "compound molecule target inhibitor mechanism discovery preclinical clinical pipeline candidate assay screen sar selectivity potency ic50",
+    "academic": "patient study trial efficacy endpoint cohort publication abstract poster congress asco aacr esmo hypothesis method results conclusion pvalue",
+    "operational": "update status progress timeline milestone deliverable team resource budget plan roadmap strategy meeting review decision action department",
 }
 SLIDE_BOILERPLATE = r"(?i)^(click\s+to\s+edit|insert\s+(title|subtitle|text)|thank\s+you\s*[!.]?\s*$|questions\s*\??\s*$|(any\s+)?questions\s*(\?|and\s+discussion)|appendix\s*$|backup\s+slides?\s*$)"
 CLAIM_CLASSES = (
@@ -83,19 +83,30 @@ def sensitivity(name: Column, text: Column) -> Column:
     return F.element_at(F.array(F.lit("public"), F.lit("confidential"), F.lit("secret")), F.coalesce(F.greatest(by_name, by_text), F.lit(1)) + 1)
 
 
-def content_counts(text: Column) -> dict[str, Column]:
+def content_words(text: Column) -> Column:
+    """Lower-case words, with 'p-value' and 'co-develop' as one word each."""
     t = F.lower(F.coalesce(text, F.lit("")))
-    return {k: F.regexp_count(t, F.lit(v)) for k, v in CONTENT_WORDS.items()}
+    return F.split(F.regexp_replace(F.replace(t, F.lit("co-develop"), F.lit("codevelop")), r"p[ \-]value", "pvalue"), "[^a-z0-9]+")
 
 
 def content_type(text: Column) -> Column:
     """The kind with most words; ties in the order of CONTENT_WORDS; under two words operational, blank template."""
-    c = content_counts(text)
-    top = F.greatest(*c.values())
-    out = F.when(strip(F.coalesce(text, F.lit(""))) == "", "template").when(top < 2, "operational")
-    for name, n in c.items():
-        out = out.when(n == top, name)
-    return out
+    def pick(w: Column) -> Column:
+        sizes = F.array(*[F.size(_among(w, v)) for v in CONTENT_WORDS.values()])
+
+        def choose(n: Column) -> Column:
+            out = F.when(F.array_max(n) < 2, "operational")
+            for i, name in enumerate(CONTENT_WORDS):
+                out = out.when(F.get(n, F.lit(i)) == F.array_max(n), name)
+            return out
+
+        return once(sizes, choose)
+
+    return F.when(strip(F.coalesce(text, F.lit(""))) == "", "template").otherwise(once(content_words(text), pick))
+
+
+def _among(w: Column, words: str) -> Column:
+    return F.filter(w, lambda x: x.isin(*words.split()))
 
 
 def claim_class(text: Column) -> Column:

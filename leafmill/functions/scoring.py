@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import once
+
 GARBLED_SIGNS = "~`^°¨¤¦¬¯¸¡¿§¶"
 
 
@@ -20,20 +22,18 @@ def words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def page_parts(text: Column) -> dict[str, Column]:
-    """The six parts of a page's text quality, each 0 to 1."""
-    t = F.coalesce(text, F.lit(""))
-    w = words(t)
+def page_parts(t: Column, w: Column) -> dict[str, Column]:
+    """The six parts of a page's text quality, each 0 to 1, of a text and its words."""
     n = F.greatest(F.size(w), F.lit(1)).cast("double")
     chars = F.greatest(F.length(t), F.lit(1)).cast("double")
     mean = F.aggregate(w, F.lit(0), lambda s, x: s + F.length(x)) / n
     tested = F.filter(w, lambda x: (F.length(x) > 2) & x.rlike(r"^\p{L}"))
     signs = F.length(t) - F.length(F.translate(t, GARBLED_SIGNS, ""))
-    letters = F.length(F.regexp_replace(t, r"[^\p{L}]", ""))
+    letters = F.length(F.regexp_replace(t, r"[^\p{L}]+", ""))
     return {
         "merged": F.greatest(F.lit(0.0), 1 - 5 * F.regexp_count(t, F.lit("[a-z][A-Z]")) / n),
-        "average": F.when(mean <= 7, 1.0).when(mean <= 9, 1 - 0.2 * (mean - 7)).otherwise(F.greatest(F.lit(0.0), 0.6 - (mean - 9) / 10)),
-        "long": F.greatest(F.lit(0.0), 1 - 10 * F.size(F.filter(tested, lambda x: F.length(x) > 20)) / F.greatest(F.size(tested), F.lit(1)).cast("double")),
+        "average": once(mean, lambda m: F.when(m <= 7, 1.0).when(m <= 9, 1 - 0.2 * (m - 7)).otherwise(F.greatest(F.lit(0.0), 0.6 - (m - 9) / 10))),
+        "long": once(tested, lambda k: F.greatest(F.lit(0.0), 1 - 10 * F.size(F.filter(k, lambda x: F.length(x) > 20)) / F.greatest(F.size(k), F.lit(1)).cast("double"))),
         "garbled": F.greatest(F.lit(0.0), 1 - 50 * signs / chars),
         "alpha": F.least(F.lit(1.0), letters / chars / 0.6),
         "tiny": F.greatest(F.lit(0.0), 1 - 2.5 * F.size(F.filter(w, lambda x: F.length(x) <= 2)) / n),
@@ -45,12 +45,16 @@ PAGE_WEIGHTS = {"merged": 0.20, "average": 0.25, "long": 0.15, "garbled": 0.15,
 
 def page_quality(text: Column) -> Column:
     """Weighted text quality of a page, 0 to 1; 0 for texts under 50 characters or 5 words, null included."""
+
+    def score(x: Column) -> Column:
+        parts = page_parts(x["t"], x["w"])
+        total = F.lit(0.0)
+        for name, weight in PAGE_WEIGHTS.items():
+            total = total + weight * parts[name]
+        return F.when((F.length(x["t"]) < 50) | (F.size(x["w"]) < 5), 0.0).otherwise(clamp(total, 0.0, 1.0))
+
     t = F.coalesce(text, F.lit(""))
-    parts = page_parts(t)
-    total = F.lit(0.0)
-    for name, weight in PAGE_WEIGHTS.items():
-        total = total + weight * parts[name]
-    return F.when((F.length(t) < 50) | (F.size(words(t)) < 5), 0.0).otherwise(clamp(total, 0.0, 1.0))
+    return once(F.struct(t.alias("t"), words(t).alias("w")), score)
 
 
 def remediation(quality: Column) -> Column:

@@ -48,17 +48,20 @@ MERGED_WORDS = (
     ("selectedfrom", "selected from"), ("whereinthe", "wherein the"), ("newclass", "new class"), ("areaclass", "are a class"), ("averysmall", "a very small"),
 )
 #: (pattern, replacement with $ groups) that set missing blanks, in order.
-SPACING = (
+SPACING_FIRST = (
     (r"([a-z])([A-Z][a-z]{2,})", "$1 $2"),
     (r"(\))([A-Z])", "$1 $2"),
     (r"([a-z]\.)([A-Z][a-z]{2,})", "$1 $2"),
     (r",([A-Z][a-z]{2,})", ", $1"),
     (r"(^|\W)of([^f\s][a-z]{5,})", "$1of $2"),
-    *((rf"(^|\W){a}(\W|$)", rf"$1{b}$2") for a, b in MERGED_WORDS),
-    (r"(^|\W)their([a-z]{4,})", "$1their $2"),
-    (r"(^|\W)([a-z]{4,}ly)(targeting|binding|acting|reducing|promoting|explaining)(\W|$)", "$1$2 $3$4"),
-    (r"(^|\W)([a-z]{4,}ly)(expressed|described|developed|produced|achieved|reported)(\W|$)", "$1$2 $3$4"),
 )
+#: (what a text must contain, pattern, replacement), in order: most texts contain none of it and are spared the pattern.
+SPACING_GUARDED = (
+    *((a, rf"(^|\W){a}(\W|$)", rf"$1{b}$2") for a, b in MERGED_WORDS),
+    ("their", r"(^|\W)their([a-z]{4,})", "$1their $2"),
+    *((f"ly{v}", rf"(^|\W)([a-z]{{4,}}ly){v}(\W|$)", rf"$1$2 {v}$3") for v in "targeting binding acting reducing promoting explaining expressed described developed produced achieved reported".split()),
+)
+SPACING = (*SPACING_FIRST, *((p, r) for _, p, r in SPACING_GUARDED))
 # Sentences of poster templates.
 TEMPLATE_LINES = (
     r"(?is)This poster template is.*?ratio\.", r"(?is)The various elements included in this.*?needs\.", r"(?is)Always check with your conference.*?requirements\.",
@@ -90,6 +93,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def once(value: Column, f) -> Column:
+    """f(value) with ``value`` evaluated once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def chain(c: Column, steps) -> Column:
     for pattern, replacement in steps:
         c = F.regexp_replace(c, pattern, replacement)
@@ -127,7 +135,9 @@ def repair_misread_words(c: Column) -> Column:
 
 
 def repair_spacing(c: Column) -> Column:
-    return chain(c, SPACING)
+    rules = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(p).alias("p"), F.lit(r).alias("r")) for g, p, r in SPACING_GUARDED])
+    # A fold evaluates the text once per rule; nested conditions would repeat it.
+    return F.aggregate(rules, chain(c, SPACING_FIRST), lambda t, x: F.when(t.contains(x["g"]), F.regexp_replace(t, x["p"], x["r"])).otherwise(t))
 
 
 def remove_stray(c: Column) -> Column:

@@ -321,11 +321,11 @@ def f_sensitivity_label(spark, d):
     return table(spark, d, "ci_report").select("report_id", P.sensitivity(F.col("file_name"), text).alias("label"))
 
 
-_COUNTS = ", ".join(f"len(regexp_extract_all(t, {quoted(v)})) AS {k}" for k, v in P.CONTENT_WORDS.items())
+_COUNTS = ", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(map(quoted, v.split()))}))) AS {k}" for k, v in P.CONTENT_WORDS.items())
 _CASES = " ".join(f"WHEN {k} = greatest({', '.join(P.CONTENT_WORDS)}) THEN '{k}'" for k in P.CONTENT_WORDS)
 
 
-@query(f"SELECT doc_id, CASE WHEN greatest({', '.join(P.CONTENT_WORDS)}) < 2 THEN 'operational' {_CASES} END AS kind FROM (SELECT doc_id, {_COUNTS} FROM (SELECT doc_id, lower(text) AS t FROM documents))")
+@query(f"SELECT doc_id, CASE WHEN greatest({', '.join(P.CONTENT_WORDS)}) < 2 THEN 'operational' {_CASES} END AS kind FROM (SELECT doc_id, {_COUNTS} FROM (SELECT doc_id, string_split_regex(regexp_replace(replace(lower(text), 'co-develop', 'codevelop'), 'p[ \\-]value', 'pvalue', 'g'), '[^a-z0-9]+') AS w FROM documents))")
 def f_content_type(spark, d):
     return table(spark, d, "documents").select("doc_id", P.content_type(F.col("text")).alias("kind"))
 
