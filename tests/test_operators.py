@@ -150,3 +150,36 @@ def test_stride_sample(spark, k):
     rows = spark.createDataFrame([("g", i) for i in range(10)], "g string, i int")
     got = sorted(r.i for r in S.stride_sample(rows, ["g"], F.col("i"), k).collect())
     assert got == ([0, 3, 6] if k == 3 else list(range(10)))
+
+
+def test_two_columns_are_read_one_after_the_other(spark):
+    from leafmill.operators import layout as Y
+
+    words = [("p", x, x + 90.0, 10.0 * r, f"{c}{r}{i}", 600.0) for r in range(5) for c, xs in (("l", (20.0, 120.0)), ("r", (330.0, 430.0))) for i, x in enumerate(xs)]
+    words += [("q", x, x + 114.0, 0.0, f"w{i}", 600.0) for i, x in enumerate((0.0, 120.0, 240.0, 360.0))]
+    df = spark.createDataFrame(words, "page string, x0 double, x1 double, top double, word string, page_width double")
+    assert {r.page for r in Y.column_gap(df, ["page"]).collect()} == {"p"}
+    text = {r.page: r.text for r in Y.page_text(df, ["page"]).collect()}
+    assert text["p"].split("\n")[0] == "l00 l01" and text["p"].split("\n")[5] == "r00 r01" and text["q"] == "w0 w1 w2 w3"
+
+
+def test_figures_and_attachments(spark):
+    from leafmill.operators import layout as Y
+
+    docs = spark.createDataFrame([("d", "One.\n\nSee Fig. 2 here.\n\nEnd."), ("e", "none")], "d string, t string")
+    figures = spark.createDataFrame([("d", 2, "F2"), ("d", 9, "F9")], "d string, number int, block string")
+    out = {r.d: r.t for r in Y.with_figures(docs, figures, "d", "t").collect()}
+    assert out == {"d": "One.\n\nSee Fig. 2 here.\n\nF2\n\nEnd.\n\nF9", "e": "none"}
+    rows = [("t", 1, "a.pdf", 100), ("t", 2, "a.pdf", 100), ("t", 3, "A.pdf", 200), ("t", 4, "image001.png", 90_000), ("t", 5, "big.pdf", 99_000_000), ("t", 6, "x.png", 20_000)]
+    kept = Y.attachments(spark.createDataFrame(rows, "t string, i int, n string, s long"), "t", "n", "s", "i")
+    assert {(r.i, r.stored_as) for r in kept.collect()} == {(1, "a.pdf"), (3, "A_1.pdf"), (6, "x.png")}
+    assert [r.r for r in spark.createDataFrame([("a.PDF",), ("b.zip",), (None,)], "n string").select(Y.route(F.col("n")).alias("r")).collect()] == ["pdf", None, None]
+
+
+def test_figure_pages_and_mirrored_lines(spark):
+    from leafmill.operators import layout as Y
+
+    pages = spark.createDataFrame([("d", 0, "Figure 1. x", "TEXT_PAGE", False), ("d", 1, "", "FIGURE_PAGE", True), ("d", 2, None, "FIGURE_PAGE", False), ("d", 3, "", "FIGURE_PAGE", False)], "d string, n int, t string, k string, tab boolean")
+    assert sorted(r.n for r in Y.figure_pages(pages, "d", "n", "t", F.col("k"), F.col("tab"), 2).collect()) == [0, 2]
+    lines = spark.createDataFrame([(["esnopser", "x1"],), (["response", "x1"],)], "l array<string>")
+    assert [r.m for r in lines.select(Y.reversed_words(F.col("l"), ["response"]).alias("m")).collect()] == [True, False]
