@@ -30,8 +30,8 @@ FROM_LATIN = {
     "greek": {v: k for k, v in reversed(list(GREEK.items()))},
     "armenian": {v: k for k, v in reversed(list(ARMENIAN.items()))},
 }
-# Signs drawn alike.
-SIGNS = dict(zip("‐‑﹣ʼ՚＇˚⁄∕∶꞉ǃ∣ǀ∗․µ", "---’’'°//::!||*.μ"))
+# Signs drawn alike, and Latin letters drawn like Greek ones.
+SIGNS = dict(zip("‐‑﹣ʼ՚＇˚⁄∕∶꞉ǃ∣ǀ∗․µ", "---’’'°//::!||*.μ")) | dict(zip("ꞵꭓꞷɸɣɩ", "βχωφγι")) | dict(zip("ϐϑϰϱϕ⍺", "βθκρφα"))
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ĳ": "ij", "Ĳ": "IJ", "ǉ": "lj", "ǌ": "nj", "ǆ": "dž", "℃": "°C", "℉": "°F"}
 ROMAN = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0x2160, 0x2180)}
 WIDE = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFF01, 0xFFEF) if unicodedata.decomposition(chr(c)).startswith(("<wide>", "<narrow>"))}
@@ -121,7 +121,8 @@ def suspects(form: str) -> dict[str, list[str]]:
             order = ["latin"]
         else:
             continue
-        options = [x for x in dict.fromkeys(_into(word, s) for s in order) if x != word and not _dominant(x)[1]]
+        # What still mixes scripts ('μM') is asked for only where no look-alike is left in it.
+        options = [x for x in dict.fromkeys(_into(word, s) for s in order) if x != word and (not _dominant(x)[1] or not _HAS_ODD.search(x))]
         if options:
             out[word] = options
     return out
@@ -186,7 +187,7 @@ def _jvm_form(t: Column) -> Column:
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:
-    """Distinct words of all texts. What is looked up here is of one script, so mixed words can't match."""
+    """Distinct words of all texts. What is looked up here holds no look-alikes, so words with some can't match."""
     return texts.select(F.explode(F.split("t", NOT_WORD)).alias("word")).distinct()
 
 
