@@ -73,9 +73,12 @@ def _cut(votes: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     stem = F.rtrim(F.regexp_replace("value", r"(\.\.\.|…|\])\s*$", ""))
+    texts = votes.filter((F.col("shape") >= 2) & F.col("field").isin("title", "journal", "doi", "pages")).select("file_id", "field", "vh", stem.alias("stem")).distinct()
+    # Equal stems (of several sources, with and without an ellipsis) must not stand between a beginning and its whole.
     order = Window.partitionBy("file_id", "field").orderBy("stem")
-    texts = votes.filter((F.col("shape") >= 2) & F.col("field").isin("title", "journal", "doi", "pages")).select("file_id", "field", "vh", stem.alias("stem"))
-    begun = texts.withColumn("next", F.lead("stem").over(order)).filter(F.col("next").startswith(F.col("stem")) & (F.length("next") > F.length("stem"))).select("file_id", "field", "vh")
+    stems = texts.select("file_id", "field", "stem").distinct().withColumn("next", F.lead("stem").over(order))
+    beginnings = stems.filter(F.col("next").startswith(F.col("stem"))).select("file_id", "field", "stem")
+    begun = texts.join(beginnings, ["file_id", "field", "stem"]).select("file_id", "field", "vh")
     lists = votes.filter((F.col("field") == "authors") & (F.col("shape") >= 2)).select("file_id", "field", "vh", F.from_json("value", "array<string>").alias("people"))
     fullest = lists.groupBy("file_id").agg(F.max_by("people", F.struct(F.size("people"), F.hash("people"))).alias("full"))
     part = lists.join(fullest, "file_id").filter((F.size("people") < F.size("full")) & (F.size(F.array_except("people", "full")) == 0)).select("file_id", "field", "vh")
