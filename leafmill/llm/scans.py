@@ -192,7 +192,8 @@ _FOLD_MANY = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("vv", "w"), (
 _FOLD_ONE, _FOLD_AWAY = bytes.maketrans(b"c(1!ltf|0aq$59b8", b"eeiiiiiiooossghh"), b"~'.`,"
 _DIGIT = re.compile(r"\d")
 _APART = re.compile(r"(?<![^\W\d_])\d+(?![^\W\d_])")
-_RUNNING = re.compile(r"^(?:(?P<lead>[\dlIOSo!|$]{1,5})\s{2,}(?P<rest1>\S.*)|(?P<rest2>.*\S)\s{2,}(?P<trail>[\dlIOSo!|$]{1,5}))$")
+#: Conventional forms of running lines, whichever names they hold.
+_CONVENTION = re.compile(r"^(?:[^\W\d_]\S+ et al\.?|Downloaded (?:by|from) .*|.{3,60} · .{3,}|(?:©|\(c\)|Copyright) .*all rights reserved\.?)$", re.I)
 _PAGE = [
     re.compile(r"^\[\s*([\dlIOSoBi!|$]{1,5})\s*\]$"),
     re.compile(r"^([\dlIOSo!|$]{1,5})\s*/\s*[\dlIOSo!|$]{1,5}$"),
@@ -266,17 +267,25 @@ def edges(lines: list[str]) -> list[tuple[int, int]]:
     return [(full[0], 0), (full[1], 1), (full[-2], -2), (full[-1], -1)]
 
 
-def split_running(line: str) -> tuple[str, str]:
-    """(line without a number set apart at its end or start, the number or '')."""
+def split_running(line: str, page_num: int = 0) -> tuple[str, str]:
+    """(line without a page number set apart at its end or start, that number or '')."""
     line = line.strip()
-    m = _RUNNING.match(line) if "  " in line and len(line) <= 2 * LONGEST else None
-    if m:
-        number = m.group("lead") or m.group("trail")
-        if _DIGIT.search(number):
-            return (m.group("rest1") or m.group("rest2")).strip(), number
+    if "  " not in line or len(line) > 2 * LONGEST:
+        return line, ""
+    parts = re.split(r"\s{2,}", line)
+    for number, rest in ((parts[-1], parts[:-1]), (parts[0], parts[1:])):
+        offset, sure = page_number(number, page_num)
+        if sure or offset == 1 or re.fullmatch(r"[\dlIOSo!|$]{1,5}", number) and _DIGIT.search(number):
+            return "    ".join(rest), number
     return line, ""
 
 
+
+def headlike(line: str) -> bool:
+    """Whether a line can be a header or footer: it has a word, and isn't the end of a sentence."""
+    return len(_LETTERS.findall(line)) >= 4 and not (line[:1].islower() and line[-1:] in ".!?")
+
+
 def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offsets: set[int]) -> dict[int, set[str]]:
     """Lines of the page that are furniture, each with what it is: header, page_number, or both.
 
@@ -295,12 +304,14 @@ def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offset
         # A bare number at the very edge is a page's unless it ends a column of numbers.
         beside = lines[at[{0: 1, -1: -2}[pos]]].strip() if outer is None and {0: 1, -1: -2}[pos] in at else ""
         alone = outer is None and digits and beside and not re.fullmatch(r"[\d.,\s%]+", beside)
+        # '14!' at the foot is the end of a sentence.
+        alone = alone and line[-1] != "!"
         if sure or offset == 1 or offset != -99 and digits and (alone or offset in offsets):
             out[i] = {"page_number"}
             continue
-        rest, number = split_running(line)
-        value = _value(number) - page_num if number else -99
-        if len(line) <= LONGEST and line_key(rest) in furniture:
+        rest, number = split_running(line, page_num)
+        value = page_number(number, page_num)[0] if number else -99
+        if len(line) <= LONGEST and (headlike(rest) and line_key(rest) in furniture or outer is None and _CONVENTION.match(rest)):
             out[i] = {"header"} | ({"page_number"} if number else set())
         elif number and len(line) <= LONGEST and (outer is None or value == 1 or value in offsets) and re.search(r"[^\W\d_]{2}.*\s{3,}\S+$|^\S+\s{3,}.*[^\W\d_]{2}", line):
             out[i] = {"header", "page_number"}
@@ -520,12 +531,13 @@ def _survey(pages: DataFrame) -> DataFrame:
                 lines = t.split("\n")
                 spots = {i for i, _ in edges(lines)}
                 for i in spots:
-                    rest, number = split_running(lines[i])
-                    if len(lines[i].strip()) <= LONGEST:
+                    rest, number = split_running(lines[i], n)
+                    if len(lines[i].strip()) <= LONGEST and headlike(rest):
                         rows.append(("e", f, None, line_key(rest), n, _key(folded_head(rest))))
                     offset, sure = page_number(lines[i].strip(), n)
-                    if sure and offset != -99 or number:
-                        rows.append(("o", f, None, offset if sure else _value(number) - n, n, 1))
+                    offset = page_number(number, n)[0] if number else offset if sure else -99
+                    if offset != -99:
+                        rows.append(("o", f, None, offset, n, 1))
                 inner.update(folded_head(x) for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST)
             if rows:
                 yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n"])
