@@ -83,8 +83,8 @@ def _core(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(token, _ASCII_EDGE, ""), r"[0-9]+", "0")
 
 
-def _strong(g: str, v: str, df_g: int, df_v: int, chars: dict[str, int]) -> bool:
-    """Whether v is verified as the original of g."""
+def _strong(g: str, v: str, df_g: int, df_v: int, chars: dict[str, int], inner: dict[str, int]) -> bool:
+    """Whether v is verified as the original of g; ``chars`` counts characters, ``inner`` those between small letters."""
     if "�" in v or any(unicodedata.category(c) in ("Cc", "Co") for c in v):
         return False
     if len(g) > len(v):
@@ -95,7 +95,9 @@ def _strong(g: str, v: str, df_g: int, df_v: int, chars: dict[str, int]) -> bool
     if len(g) < len(v):
         return False
     changed = [(a, b) for a, b in zip(g, v) if a != b]
-    if df_v <= df_g or not all(chars.get(a, 0) < RARER * chars.get(b, 0) for a, b in changed):
+    # Inside a word a character is rare or not among its like there: capitals hardly ever stand between small letters.
+    counts = [inner if v[i - 1 : i].islower() and v[i + 1 : i + 2].islower() else chars for i, (a, b) in enumerate(zip(g, v)) if a != b]
+    if df_v <= df_g or not all(n.get(a, 0) < RARER * n.get(b, 0) for (a, b), n in zip(changed, counts)):
         return False
     return sum(c.isalpha() for c in v) >= 3 or all(unicodedata.category(a) in ("So", "Cc", "Co", "Sk") for a, _ in changed)
 
@@ -103,16 +105,18 @@ def _strong(g: str, v: str, df_g: int, df_v: int, chars: dict[str, int]) -> bool
 def garble_table(pages: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """(words, runs): garbled form ``g`` and verified original ``v`` of words and of non-ASCII runs of the corpus.
 
-    What is shared with all tasks is the count of each non-ASCII character, at most one entry per code point.
+    What is shared with all tasks are two counts of each non-ASCII character, at most one entry per code point.
     """
     tokens = pages.select(F.explode(_tokens(F.col(text))).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7F]"))
     types = materialize(tokens.select(_core(F.col("token")).alias("core")).groupBy("core").agg(F.count("*").alias("df")), "types")
     runs = materialize(types.select(F.explode(F.regexp_extract_all("core", F.lit(r"[^\x00-\x7F]+"), 0)).alias("core"), "df").groupBy("core").agg(F.sum("df").alias("df")), "runs")
     chars = {r.c: r.n for r in runs.select(F.explode(F.split("core", "")).alias("c"), "df").filter("c <> ''").groupBy("c").agg(F.sum("df").alias("n")).collect()}
-    shared = pages.sparkSession.sparkContext.broadcast(chars)
+    between = F.explode(F.regexp_extract_all("core", F.lit(r"(?<=\p{Ll})[^\x00-\x7F](?=\p{Ll})"), 0)).alias("c")
+    inner = {r.c: r.n for r in types.select(between, "df").groupBy("c").agg(F.sum("df").alias("n")).collect()}
+    shared = pages.sparkSession.sparkContext.broadcast((chars, inner))
 
     def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, chains = shared.value, _compiled()
+        known, chains = shared.value[0], _compiled()
         for b in batches:
             rows = []
             for v, n in zip(b["core"], b["df"]):
@@ -124,9 +128,9 @@ def garble_table(pages: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
             yield pd.DataFrame(rows, columns=["core", "v", "df_v", "chain"])
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known, within = shared.value
         for b in batches:
-            yield b[[_strong(g, v, a, n, known) for g, v, a, n in zip(b["core"], b["v"], b["df"], b["df_v"])]][["core", "v", "df_v", "chain"]]
+            yield b[[_strong(g, v, a, n, known, within) for g, v, a, n in zip(b["core"], b["v"], b["df"], b["df_v"])]][["core", "v", "df_v", "chain"]]
 
     def match(kinds: DataFrame) -> DataFrame:
         made = kinds.mapInPandas(forms, "core string, v string, df_v long, chain int")

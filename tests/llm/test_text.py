@@ -91,6 +91,11 @@ def test_cut_words(left, mark, right, cut):
     assert S.cut_word(left, mark, right, known) is cut
 
 
+@pytest.mark.parametrize("line, rest, number", [("Vidizo et al.    933", "Vidizo et al.", "933"), ("p. 528    Bitriso et al.", "Bitriso et al.", "p. 528"), ("WO 2016/1    PCT/EP2020/2    iii", "WO 2016/1    PCT/EP2020/2", "iii"), ("a  b", "a  b", ""), ("plain text", "plain text", "")])
+def test_running_lines_are_split(line, rest, number):
+    assert S.split_running(line, 2) == (rest, number)
+
+
 def test_page_numbers_follow_the_page():
     assert S.page_number("[3]", 2) == (1, True) and S.page_number("Page 4 of 9", 3) == (1, True)
     assert S.page_number("12", 11) == (1, False) and S.page_number("iv", 3) == (1, False)
@@ -111,7 +116,7 @@ def test_scans_with_odd_rows(spark, odd_rows):
 def test_every_chain_is_found_and_undone(spark, chain):
     word = "überführung"
     forms = [g for g, i in E.garbled_forms(word).items() if i == chain]
-    if not forms or "�" in forms[0] or not E._strong(forms[0], word, 1, 40, {c: 40 for c in word}):
+    if not forms or "�" in forms[0] or not E._strong(forms[0], word, 1, 40, {c: 40 for c in word}, {c: 40 for c in word}):
         pytest.skip("this chain leaves the word, or can't be undone")
     rows = [(i, f"die {word} der Größe") for i in range(40)] + [(99, f"die {forms[0]} der")]
     pages = spark.createDataFrame(rows, "page_id long, text string")
