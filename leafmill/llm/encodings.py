@@ -2,7 +2,8 @@
 
 Every distinct clean word of the corpus (and every distinct run of non-ASCII characters) is sent through all encoding
 chains; the garbled forms make a table that the words of the documents are hash-joined against. A match is taken only
-where the original is verified as the likelier of the two, and its original is put in its place.
+where the original is verified as the likelier of the two, and its original is put in its place. A word is judged by its
+own form first; one whose form could stand in clean text is judged by the other words of its page under the same chain.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,6 +32,8 @@ CHAINS: tuple[tuple[tuple[str, str], ...], ...] = (
 _MULTI = {"utf-8", "gbk", "big5", "shift_jis", "euc_kr"}
 #: A replaced character must be this much rarer than the character it stands for, in chains that keep the length.
 RARER = 0.1
+#: Characters of these kinds, and these signs, don't stand between two letters of a word.
+_FOREIGN, _FOREIGN_SIGNS = {"So", "Sk", "Sc", "Sm", "No", "Lm", "Lo", "Cc", "Co"}, set("¡¿„‚†‡•‰«»¶§")
 _ASCII_EDGE = r"^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+$"
 
 
@@ -102,14 +106,47 @@ def _strong(g: str, v: str, df_g: int, df_v: int, chars: dict[str, int], inner:
     return sum(c.isalpha() for c in v) >= 3 or all(unicodedata.category(a) in ("So", "Cc", "Co", "Sk") for a, _ in changed)
 
 
-def garble_table(pages: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """(words, runs): garbled form ``g`` and verified original ``v`` of words and of non-ASCII runs of the corpus.
+@lru_cache(maxsize=1 << 14)
+def _script(c: str) -> str:
+    return unicodedata.name(c, "").split(" ")[0] if c.isalpha() else ""
 
-    What is shared with all tasks are two counts of each non-ASCII character, at most one entry per code point.
+
+def _misplaced(word: str, at: set[int]) -> bool:
+    """Whether one of the characters at ``at`` can't stand where it stands in a clean word, by the others of the word."""
+    kept = [i for i in range(len(word)) if i not in at]
+    letters = [word[i] for i in kept if word[i].isalpha()]
+    latin = len(letters) > 1 and all(_script(c) == "LATIN" for c in letters)
+    for i in at:
+        c = word[i]
+        left, right = next((word[k] for k in reversed(kept) if k < i), ""), next((word[k] for k in kept if k > i), "")
+        if "─" <= c <= "▟" and (left.isalpha() or right.isalpha()):
+            return True
+        if left.isalpha() and right.isalpha() and (unicodedata.category(c) in _FOREIGN or c in _FOREIGN_SIGNS):
+            return True
+        if latin and c.isalpha() and _script(c) != "LATIN" or c.isupper() and left.islower() and right.islower():
+            return True
+    return False
+
+
+def _by_form(g: str, v: str) -> tuple[bool, bool]:
+    """(whether the form of g alone shows that v is its original, whether v can be it at all), in chains that keep the length."""
+    if len(g) != len(v) or sum(c.isalpha() for c in v) < 3 or "�" in v or any(unicodedata.category(c) in ("Cc", "Co") for c in v):
+        return False, False
+    at = {i for i, (a, b) in enumerate(zip(g, v)) if a != b}
+    sound = not _misplaced(v, at)
+    return sound and _misplaced(g, at), sound
+
+
+def garble_table(pages: DataFrame, text: str, file: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(words, runs): garbled form ``core`` and original ``v`` of words and of non-ASCII runs of the corpus.
+
+    A word is ``sure``, or needs other words of its page that are garbled by one of its ``chains``; such a word must be
+    rarer than its original, each ``file`` counted once. What is shared with all tasks are two counts of each non-ASCII character, at most one entry per code point.
     """
-    tokens = pages.select(F.explode(_tokens(F.col(text))).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7F]"))
-    types = materialize(tokens.select(_core(F.col("token")).alias("core")).groupBy("core").agg(F.count("*").alias("df")), "types")
-    runs = materialize(types.select(F.explode(F.regexp_extract_all("core", F.lit(r"[^\x00-\x7F]+"), 0)).alias("core"), "df").groupBy("core").agg(F.sum("df").alias("df")), "runs")
+    tokens = pages.select((F.col(file) if file else F.lit(None)).alias("f"), F.explode(_tokens(F.col(text))).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7F]"))
+    by_file = tokens.select("f", _core(F.col("token")).alias("core")).groupBy("core", "f").agg(F.count("*").alias("n"))
+    types = materialize(by_file.groupBy("core").agg(F.sum("n").alias("df"), (F.count("*") if file else F.sum("n")).alias("files")), "types")
+    runs = materialize(types.select(F.explode(F.regexp_extract_all("core", F.lit(r"[^\x00-\x7F]+"), 0)).alias("core"), "df", "files").groupBy("core").agg(F.sum("df").alias("df"), F.sum("files").alias("files")), "runs")
     chars = {r.c: r.n for r in runs.select(F.explode(F.split("core", "")).alias("c"), "df").filter("c <> ''").groupBy("c").agg(F.sum("df").alias("n")).collect()}
     between = F.explode(F.regexp_extract_all("core", F.lit(r"(?<=\p{Ll})[^\x00-\x7F](?=\p{Ll})"), 0)).alias("c")
     inner = {r.c: r.n for r in types.select(between, "df").groupBy("c").agg(F.sum("df").alias("n")).collect()}
@@ -119,27 +156,34 @@ def garble_table(pages: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
         known, chains = shared.value[0], _compiled()
         for b in batches:
             rows = []
-            for v, n in zip(b["core"], b["df"]):
+            for v, n, m in zip(b["core"], b["df"], b["files"]):
                 if "�" in v:
                     continue
                 for g, i in garbled_forms(v, chains).items():
                     if all(c.isascii() or c in known for c in g):
-                        rows.append((g, v, n, i))
-            yield pd.DataFrame(rows, columns=["core", "v", "df_v", "chain"])
+                        rows.append((g, v, n, i, m))
+            yield pd.DataFrame(rows, columns=["core", "v", "df_v", "chain", "files_v"])
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, within = shared.value
+        (known, within), chains = shared.value, _compiled()
         for b in batches:
-            yield b[[_strong(g, v, a, n, known, within) for g, v, a, n in zip(b["core"], b["v"], b["df"], b["df_v"])]][["core", "v", "df_v", "chain"]]
+            rows = []
+            for g, v, n, n_v, i, m, m_v in zip(b["core"], b["v"], b["df"], b["df_v"], b["chain"], b["files"], b["files_v"]):
+                shown, sound = _by_form(g, v)
+                sure = shown or _strong(g, v, n, n_v, known, within)
+                if sure or sound and m_v > m:
+                    rows.append((g, v, n_v, i, sure, [k for k, x in enumerate(chains) if g in garbled_forms(v, [x])] if len(g) == len(v) else []))
+            yield pd.DataFrame(rows, columns=["core", "v", "df_v", "chain", "sure", "chains"])
 
     def match(kinds: DataFrame) -> DataFrame:
-        made = kinds.mapInPandas(forms, "core string, v string, df_v long, chain int")
-        hits = kinds.join(made, "core").select("core", "v", "df", "df_v", "chain").mapInPandas(verified, "core string, v string, df_v long, chain int")
-        return hits.groupBy("core").agg(F.max_by("v", F.struct("df_v", -F.col("chain"), "v")).alias("v"))
+        made = kinds.mapInPandas(forms, "core string, v string, df_v long, chain int, files_v long")
+        return kinds.join(made, "core").select("core", "v", "df", "df_v", "chain", "files", "files_v").mapInPandas(verified, "core string, v string, df_v long, chain int, sure boolean, chains array<int>")
 
-    words = match(types)
+    best = match(types).groupBy("core").agg(F.max_by(F.struct("v", "sure", "chains"), F.struct("sure", "df_v", -F.col("chain"), "v")).alias("best"), F.collect_set(F.struct("v", "sure", "chains")).alias("all"))
+    words = best.select("core", F.inline(F.when(F.col("best.sure"), F.array("best")).otherwise(F.col("all"))))
+    sure_runs = match(runs).filter("sure").groupBy("core").agg(F.max_by("v", F.struct("df_v", -F.col("chain"), "v")).alias("v"))
     # A run stands by itself only where the garbling made it longer: no clean text holds such runs.
-    longer = match(runs).filter(F.length("core") > F.length("v"))
+    longer = sure_runs.filter(F.length("core") > F.length("v"))
     return materialize(words, "words"), materialize(longer, "longer")
 
 
@@ -147,27 +191,33 @@ def _evidence(pages: DataFrame, key: str, text: str, words: DataFrame, runs: Dat
     """(key, token, core, v): garbled tokens of each page; ``v`` null where only runs are known or nothing can be."""
     tokens = pages.select(F.col(key).alias("k"), F.explode(F.array_distinct(_tokens(F.col(text)))).alias("token")).filter(F.col("token").rlike(r"[^\x00-\x7F]"))
     cored = tokens.withColumn("core", _core(F.col("token")))
-    by_word = cored.join(words, "core").select("k", "token", "core", "v")
+    hits = materialize(cored.join(words, "core").select("k", "token", "core", "v", "sure", "chains"), "hits")
+    # A word whose form decides nothing counts where a sure word, or another such word, of its page has the same chain.
+    by_chain = hits.select("k", "token", "core", "v", "sure", F.explode("chains").alias("chain"))
+    backed = by_chain.groupBy("k", "chain").agg(F.max("sure").alias("shown"), F.count_distinct("core").alias("n")).filter("shown or n > 1")
+    unsure = by_chain.filter("not sure").join(backed, ["k", "chain"]).groupBy("k", "token", "core").agg(F.max_by("v", F.struct("shown", "n", "v")).alias("v"))
+    by_word = hits.filter("sure").select("k", "token", "core", "v").unionByName(unsure.select("k", "token", "core", "v"))
     parts = cored.select("k", "token", F.explode(F.regexp_extract_all("core", F.lit(r"[^\x00-\x7F]+"), 0)).alias("core"))
     by_run = parts.join(runs, "core").select("k", "token", "core", "v")
     return by_word.withColumn("whole", F.lit(True)).unionByName(by_run.withColumn("whole", F.lit(False)))
 
 
-def garbled(pages: DataFrame, key: str, text: str) -> DataFrame:
+def garbled(pages: DataFrame, key: str, text: str, file: str | None = None) -> DataFrame:
     """(key): rows whose text holds wrongly decoded characters, U+FFFD included, restorable or not.
 
-    Null and empty texts are never garbled; every repeated row counts; only the two named columns are read.
+    Null and empty texts are never garbled; every repeated row counts; only the named columns are read. ``file``
+    names what a row is part of, if anything: a word counts once in each.
     """
-    words, runs = garble_table(pages, text)
+    words, runs = garble_table(pages, text, file)
     hit = _evidence(pages, key, text, words, runs).select(F.col("k").alias(key))
     lost = pages.filter(F.col(text).contains("�")).select(key)
     return hit.unionByName(lost).distinct()
 
 
-def restored(pages: DataFrame, key: str, text: str) -> DataFrame:
+def restored(pages: DataFrame, key: str, text: str, file: str | None = None) -> DataFrame:
     """(key, text, replaced, lost): the garbled rows with verified originals in place, the number of replaced tokens,
     and whether characters remain that can't be restored. Rows without garbled tokens are not returned."""
-    words, runs = garble_table(pages, text)
+    words, runs = garble_table(pages, text, file)
     kind = pages.schema[key].dataType.simpleString()
     found = _evidence(pages, key, text, words, runs).groupBy("k").agg(F.collect_set(F.struct("token", "core", "v", "whole")).alias("found"))
 

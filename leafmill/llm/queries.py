@@ -40,11 +40,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encodings.garbled(table(spark, sf_dir, "page_text"), "page_id", "text")
+    return encodings.garbled(table(spark, sf_dir, "page_text"), "page_id", "text", "file_id")
 
 
 def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encodings.restored(table(spark, sf_dir, "page_text"), "page_id", "text")
+    return encodings.restored(table(spark, sf_dir, "page_text"), "page_id", "text", "file_id")
 
 
 def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,6 +124,17 @@ def test_every_chain_is_found_and_undone(spark, chain):
     assert E.restored(pages, "page_id", "text").first().text == f"die {word} der"
 
 
+def test_much_garble_and_natural_letters_are_still_told(spark):
+    clean, bad = "der für später Größe", "der für später Größe".encode("cp1252").decode("cp437")
+    thirds = spark.createDataFrame([(i, i, bad if i % 3 == 0 else clean) for i in range(60)], "page_id long, file_id long, text string")
+    assert {r.page_id for r in E.garbled(thirds, "page_id", "text", "file_id").collect()} == set(range(0, 60, 3))
+    # 'ß' for 'á' could stand in clean text and is common there: the words of the page agree on one chain.
+    rows = [(i, i, "análisis de voluntários hepáticas, Straße") for i in range(9)] + [(i, 99, "anßlisis de voluntßrios") for i in range(20, 60)] + [(70, 70, "die weiße Straße")]
+    pages = spark.createDataFrame(rows, "page_id long, file_id long, text string")
+    assert {r.page_id for r in E.garbled(pages, "page_id", "text", "file_id").collect()} == set(range(20, 60))
+    assert {r.text for r in E.restored(pages, "page_id", "text", "file_id").collect()} == {"análisis de voluntários"}
+
+
 def test_natural_capitals_are_no_garble(spark):
     rows = [(i, "SÃO ANALISADAS AMOSTRAS DAS MÃES, ÂGE MOYEN, já não") for i in range(5)] + [(7, "lost � here"), (8, None), (9, "")]
     assert [r.page_id for r in E.garbled(spark.createDataFrame(rows, "page_id long, text string"), "page_id", "text").collect()] == [7]
