@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.session import materialize
@@ -38,6 +38,8 @@ RATIO = 12
 #: Clean pages that the editor is trained on, at most (chosen by hash), and words it learns from, at most.
 TRAINING_PAGES, TRAINING_WORDS = 900, 60_000
 EPOCHS = 3
+#: Pages that carry numbers of one offset in a part of a file are at most so many apart.
+NEAR = 10
 #: Furniture lines are no longer than this.
 LONGEST = 80
 SEED = 13
@@ -517,8 +519,8 @@ class Editor:
 def _survey(pages: DataFrame) -> DataFrame:
     """One pass: counts of words, edge lines by file and page, inner lines, and offsets of printed numbers.
 
-    Rows (kind, file, word, h, page, n): 'w' a word; 'e' an edge line, its beginning in n; 'm' the beginning of an inner
-    line in h; 'o' an offset in h.
+    Rows (kind, file, word, h, page, n, row, spot): 'w' a word; 'e' an edge line, its beginning in n, its last character in word; 'm' the beginning of
+    an inner line in h; 'o' an offset in h.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -526,21 +528,21 @@ def _survey(pages: DataFrame) -> DataFrame:
         inner: Counter = Counter()
         for b in batches:
             rows = []
-            for f, n, t in zip(b["f"], b["n"], b["t"]):
+            for f, n, t, r in zip(b["f"], b["n"], b["t"], b["r"]):
                 words.update(t.split())
                 lines = t.split("\n")
-                spots = {i for i, _ in edges(lines)}
-                for i in spots:
+                spots = dict(edges(lines))
+                for i, spot in spots.items():
                     rest, number = split_running(lines[i], n)
                     if len(lines[i].strip()) <= LONGEST and headlike(rest):
-                        rows.append(("e", f, None, line_key(rest), n, _key(folded_head(rest))))
+                        rows.append(("e", f, rest[-1], line_key(rest), n, _key(folded_head(rest)), r, spot))
                     offset, sure = page_number(lines[i].strip(), n)
                     offset = page_number(number, n)[0] if number else offset if sure else -99
                     if offset != -99:
-                        rows.append(("o", f, None, offset, n, 1))
+                        rows.append(("o", f, None, offset, n, 1, r, spot))
                 inner.update(folded_head(x) for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST)
             if rows:
-                yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n"])
+                yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n", "row", "spot"])
             if len(words) > 300_000 or len(inner) > 300_000:
                 yield from flush(words, inner)
         yield from flush(words, inner)
@@ -553,31 +555,39 @@ def _survey(pages: DataFrame) -> DataFrame:
                 cores[c] += n
         # An empty frame has no types that Arrow could take for those of the schema.
         if cores:
-            yield pd.DataFrame({"kind": "w", "file": None, "word": list(cores), "h": None, "page": None, "n": list(cores.values())})
+            yield pd.DataFrame({"kind": "w", "file": None, "word": list(cores), "h": None, "page": None, "n": list(cores.values()), "row": None, "spot": None})
         if inner:
-            yield pd.DataFrame({"kind": "m", "file": None, "word": None, "h": [_key(x) for x in inner], "page": None, "n": list(inner.values())})
+            yield pd.DataFrame({"kind": "m", "file": None, "word": None, "h": [_key(x) for x in inner], "page": None, "n": list(inner.values()), "row": None, "spot": None})
         words.clear()
         inner.clear()
 
-    rows = pages.filter(F.length("t") > 0).select("f", "n", "t")
-    return rows.mapInPandas(run, "kind string, file long, word string, h long, page int, n long")
+    rows = pages.filter(F.length("t") > 0).select("f", "n", "t", "r")
+    return rows.mapInPandas(run, "kind string, file long, word string, h long, page int, n long, row long, spot int")
 
 
 def _furniture(survey: DataFrame, pages_of: DataFrame) -> DataFrame:
-    """(f, furniture, offsets) by file. A file's own furniture is on at least 2 of its pages and a tenth of them, so there
-    are at most 40 shapes; what is furniture of several files needs half a percent of the pages only."""
-    edge = survey.filter("kind = 'e'").select(F.col("file").alias("f"), "h", "page", F.col("n").alias("head")).distinct()
-    by_file = edge.groupBy("f", "h", "head").agg(F.count("*").alias("n"))
+    """(f, r, furniture, offsets) by row, four of each at most. A file's own furniture is on a tenth of its pages, or at one
+    place of 2 pages (3 where it ends like a sentence), however long the file is; what is furniture of several files needs half a percent of the
+    pages only. A printed offset is on a twentieth of the pages, or on 3 pages that are no more than NEAR apart."""
+    edge = survey.filter("kind = 'e'").select(F.col("file").alias("f"), "h", "page", F.col("n").alias("head"), F.col("row").alias("r"), "spot", F.col("word").isin(".", "!", "?").alias("stop"))
+    steady = edge.groupBy("f", "h", "head", "spot").agg(F.count_distinct("page").alias("n")).groupBy("f", "h", "head").agg(F.max("n").alias("steady"))
+    by_file = edge.groupBy("f", "h", "head").agg(F.count_distinct("page").alias("n"), F.max("stop").alias("stop")).join(steady, ["f", "h", "head"])
     corpus = by_file.groupBy("h").agg(F.sum("n").alias("all"), F.count("*").alias("files"))
     heads = by_file.groupBy("head").agg(F.sum("n").alias("at_edge"))
     inner = survey.filter("kind = 'm'").groupBy(F.col("h").alias("head")).agg(F.sum("n").alias("inner"))
     judged = by_file.join(corpus, "h").join(heads, "head").join(inner, "head", "left").join(pages_of, "f").withColumn("inner", F.coalesce("inner", F.lit(0)))
-    own = (F.col("n") >= 2) & (F.col("n") >= 0.1 * F.col("pages")) & (F.col("inner") <= 0.2 * F.col("at_edge"))
+    often = (F.col("n") >= 2) & (F.col("n") >= 0.1 * F.col("pages")) | (F.col("steady") >= F.when(F.col("stop"), 3).otherwise(2))
+    own = often & (F.col("inner") <= 0.2 * F.col("at_edge"))
     shared = (F.col("files") >= 2) & (F.col("all") >= 4) & (F.col("inner") <= 0.05 * F.col("at_edge")) & (F.col("n") >= 0.005 * F.col("pages"))
-    lines = judged.filter(own | shared).groupBy("f").agg(F.collect_set("h").alias("furniture"))
-    offset = survey.filter("kind = 'o'").filter(F.abs("h") < 100_000).select(F.col("file").alias("f"), "h", "page").distinct().groupBy("f", "h").agg(F.count("*").alias("n")).join(pages_of, "f")
-    offsets = offset.filter((F.col("n") >= 2) & (F.col("n") >= 0.05 * F.col("pages"))).groupBy("f").agg(F.collect_set("h").alias("offsets"))
-    return lines.join(offsets, "f", "full")
+    kept = judged.filter(own | shared).select("f", "h").distinct()
+    lines = edge.join(kept, ["f", "h"]).groupBy("f", "r").agg(F.collect_set("h").alias("furniture"))
+    seen = survey.filter("kind = 'o'").filter(F.abs("h") < 100_000).select(F.col("file").alias("f"), "h", "page", F.col("row").alias("r"))
+    near = Window.partitionBy("f", "h").orderBy("page")
+    places = seen.select("f", "h", "page").distinct()
+    places = places.withColumn("n", F.count("*").over(Window.partitionBy("f", "h"))).withColumn("beside", sum(F.when(F.abs(step(F.col("page"), by).over(near) - F.col("page")) <= NEAR, 1).otherwise(0) for step in (F.lag, F.lead) for by in (1, 2)))
+    offset = places.join(pages_of, "f").filter((F.col("n") >= 2) & (F.col("n") >= 0.05 * F.col("pages")) | (F.col("beside") >= 2)).select("f", "h", "page")
+    offsets = seen.join(offset, ["f", "h", "page"]).groupBy("f", "r").agg(F.collect_set("h").alias("offsets"))
+    return lines.join(offsets, ["f", "r"], "full")
 
 
 def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, needs_ocr: str, want_text: bool = True) -> DataFrame:
@@ -588,7 +598,7 @@ def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, ne
     tasks are the words on at least TRUSTED_SHARE of the pages (a bounded number) and the editor's weights.
     """
     kind = pages.schema[key].dataType.simpleString()
-    rows = pages.select(F.col(key).alias("k"), F.coalesce(F.col(file), F.lit(-1)).cast("long").alias("f"), F.coalesce(F.col(page_num), F.lit(-1)).cast("int").alias("n"), F.col(text).alias("t"), F.coalesce(F.col(needs_ocr), F.lit(False)).alias("hint"))
+    rows = pages.select(F.col(key).alias("k"), F.coalesce(F.col(file), F.lit(-1)).cast("long").alias("f"), F.coalesce(F.col(page_num), F.lit(-1)).cast("int").alias("n"), F.col(text).alias("t"), F.coalesce(F.col(needs_ocr), F.lit(False)).alias("hint"), F.xxhash64(F.col(key)).alias("r"))
     full = rows.filter(F.length(F.trim("t")) > 0)
     survey = materialize(_survey(full), "survey")
     pages_of = materialize(full.groupBy("f").agg(F.count_distinct("n").alias("pages"), F.count("*").alias("copies")), "pages-of")
@@ -606,6 +616,6 @@ def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, ne
             done = [editor.page(t, n, set(u) if u is not None else set(), set(o) if o is not None else set(), h, want_text) for t, n, u, o, h in zip(b["t"], b["n"], b["furniture"], b["offsets"], b["hint"])]
             yield pd.DataFrame({key: b["k"], "defects": [d for d, _ in done], "repaired": pd.Series([x for _, x in done], dtype="object")})
 
-    joined = full.join(_furniture(survey, pages_of), "f", "left")
+    joined = full.join(_furniture(survey, pages_of), ["f", "r"], "left")
     blank = rows.filter(F.col("t").isNull() | (F.length(F.trim("t")) == 0)).select(F.col("k").alias(key), F.array().cast("array<string>").alias("defects"), F.col("t").alias("repaired"))
     return joined.select("k", "n", "t", "hint", "furniture", "offsets").mapInPandas(run, f"`{key}` {kind}, defects array<string>, repaired string").unionByName(blank)

@@ -66,6 +66,21 @@ def test_scan_noise_is_found_and_repaired(spark):
     assert joined and all("treat-" not in out[i].repaired and "treatment" in out[i].repaired for i in joined)
 
 
+def headed(spark, text_of, n, file=1):
+    rows = [(file * 1000 + i, file, i, text_of(i), False) for i in range(n)]
+    return spark.createDataFrame(rows, "page_id long, file_id long, page_num int, text string, needs_ocr boolean")
+
+
+def found_headers(pages):
+    return {r.page_id for r in S.repaired(pages, "page_id", "file_id", "page_num", "text", "needs_ocr", want_text=False).collect() if "header" in r.defects}
+
+
+def test_rare_headers_of_a_long_file_are_found(spark):
+    rng = random.Random(3)
+    pages = headed(spark, lambda i: ("Chapter on Widgets and Gears\n" if i in (20, 40) else "") + clean_page(rng), 60)
+    assert found_headers(pages) == {1020, 1040}
+
+
 def test_editor_on_held_out_pages():
     rng = random.Random(5)
     pages = [clean_page(rng) for _ in range(300)]
