@@ -14,6 +14,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -38,6 +39,8 @@ RATIO = 12
 #: Clean pages that the editor is trained on, at most (chosen by hash), and words it learns from, at most.
 TRAINING_PAGES, TRAINING_WORDS = 900, 60_000
 EPOCHS = 3
+#: Size of the bitmap of edge lines, as a power of 2.
+BITS = 24
 #: Pages that carry numbers of one offset in a part of a file are at most so many apart.
 NEAR = 10
 #: Furniture lines are no longer than this.
@@ -565,10 +568,52 @@ def _survey(pages: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "kind string, file long, word string, h long, page int, n long, row long, spot int")
 
 
-def _furniture(survey: DataFrame, pages_of: DataFrame) -> DataFrame:
+def _inside(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(f, h, inner): how often the whole lines ``wanted`` (h) stand inside pages, by file.
+
+    Which lines are looked up is shared with the tasks as a bitmap of fixed size: where keys share a bit more lines are
+    counted than are asked for, never fewer.
+    """
+    bit = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))
+    words = wanted.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS INT))")).alias("bits")).collect()
+    made = np.zeros(1 << BITS - 6, dtype="<i8")
+    for w in words:
+        made[w["at"]] = w["bits"]
+    shared = pages.sparkSession.sparkContext.broadcast(made.tobytes())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bitmap, mask = shared.value, (1 << BITS) - 1
+        inner: Counter = Counter()
+        for b in batches:
+            for f, n, t in zip(b["f"], b["n"], b["t"]):
+                lines = t.split("\n")
+                spots = {i for i, _ in edges(lines)}
+                for i, x in enumerate(lines):
+                    if i in spots or not 0 < len(x := x.strip()) <= LONGEST:
+                        continue
+                    h = line_key(split_running(x, n)[0] if "  " in x else x)
+                    at = h & mask
+                    if bitmap[at >> 3] >> (at & 7) & 1:
+                        inner[f, h] += 1
+            if len(inner) > 300_000:
+                yield flush(inner)
+        if inner:
+            yield flush(inner)
+
+    def flush(inner: Counter) -> pd.DataFrame:
+        out = pd.DataFrame([(f, h, n) for (f, h), n in inner.items()], columns=["f", "h", "n"])
+        inner.clear()
+        return out
+
+    counted = pages.filter(F.length("t") > 0).select("f", "n", "t").mapInPandas(run, "f long, h long, n long")
+    return counted.groupBy("f", "h").agg(F.sum("n").alias("inner"))
+
+
+def _furniture(survey: DataFrame, pages_of: DataFrame, pages: DataFrame) -> DataFrame:
     """(f, r, furniture, offsets) by row, four of each at most. A file's own furniture is on a tenth of its pages, or at one
     place of 2 pages (3 where it ends like a sentence), however long the file is; what is furniture of several files needs half a percent of the
-    pages only. A printed offset is on a twentieth of the pages, or on 3 pages that are no more than NEAR apart."""
+    pages only. Neither begins as lines inside pages do, unless it has one place on 3 pages and the whole line is hardly
+    ever inside, in its file and in all. A printed offset is on a twentieth of the pages, or on 3 pages that are no more than NEAR apart."""
     edge = survey.filter("kind = 'e'").select(F.col("file").alias("f"), "h", "page", F.col("n").alias("head"), F.col("row").alias("r"), "spot", F.col("word").isin(".", "!", "?").alias("stop"))
     steady = edge.groupBy("f", "h", "head", "spot").agg(F.count_distinct("page").alias("n")).groupBy("f", "h", "head").agg(F.max("n").alias("steady"))
     by_file = edge.groupBy("f", "h", "head").agg(F.count_distinct("page").alias("n"), F.max("stop").alias("stop")).join(steady, ["f", "h", "head"])
@@ -577,7 +622,13 @@ def _furniture(survey: DataFrame, pages_of: DataFrame) -> DataFrame:
     inner = survey.filter("kind = 'm'").groupBy(F.col("h").alias("head")).agg(F.sum("n").alias("inner"))
     judged = by_file.join(corpus, "h").join(heads, "head").join(inner, "head", "left").join(pages_of, "f").withColumn("inner", F.coalesce("inner", F.lit(0)))
     often = (F.col("n") >= 2) & (F.col("n") >= 0.1 * F.col("pages")) | (F.col("steady") >= F.when(F.col("stop"), 3).otherwise(2))
-    own = often & (F.col("inner") <= 0.2 * F.col("at_edge"))
+    judged = materialize(judged.filter((F.col("n") >= 2) | (F.col("files") >= 2)), "judged")
+    begins = F.col("inner") > 0.2 * F.col("at_edge")
+    firm = (F.col("steady") >= 3) & ~F.col("stop") & begins
+    inside = materialize(_inside(pages, judged.filter(firm).select("h").distinct()), "inside")
+    everywhere = inside.groupBy("h").agg(F.sum("inner").alias("all_inner"))
+    judged = judged.join(inside.withColumnRenamed("inner", "file_inner"), ["f", "h"], "left").join(everywhere, "h", "left").fillna(0, ["file_inner", "all_inner"])
+    own = often & ~begins | firm & (F.col("file_inner") <= 0.2 * F.col("n")) & (F.col("all_inner") <= 0.2 * F.col("all"))
     shared = (F.col("files") >= 2) & (F.col("all") >= 4) & (F.col("inner") <= 0.05 * F.col("at_edge")) & (F.col("n") >= 0.005 * F.col("pages"))
     kept = judged.filter(own | shared).select("f", "h").distinct()
     lines = edge.join(kept, ["f", "h"]).groupBy("f", "r").agg(F.collect_set("h").alias("furniture"))
@@ -616,6 +667,6 @@ def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, ne
             done = [editor.page(t, n, set(u) if u is not None else set(), set(o) if o is not None else set(), h, want_text) for t, n, u, o, h in zip(b["t"], b["n"], b["furniture"], b["offsets"], b["hint"])]
             yield pd.DataFrame({key: b["k"], "defects": [d for d, _ in done], "repaired": pd.Series([x for _, x in done], dtype="object")})
 
-    joined = full.join(_furniture(survey, pages_of), ["f", "r"], "left")
+    joined = full.join(_furniture(survey, pages_of, full), ["f", "r"], "left")
     blank = rows.filter(F.col("t").isNull() | (F.length(F.trim("t")) == 0)).select(F.col("k").alias(key), F.array().cast("array<string>").alias("defects"), F.col("t").alias("repaired"))
     return joined.select("k", "n", "t", "hint", "furniture", "offsets").mapInPandas(run, f"`{key}` {kind}, defects array<string>, repaired string").unionByName(blank)

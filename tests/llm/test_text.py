@@ -81,6 +81,14 @@ def test_rare_headers_of_a_long_file_are_found(spark):
     assert found_headers(pages) == {1020, 1040}
 
 
+def test_header_that_begins_like_sentences_is_found(spark):
+    rng = random.Random(4)
+    head = "The study of patients with cancer showed"
+    other = headed(spark, lambda i: "\n".join(f"{head} {rng.choice(WORDS)} {rng.choice(WORDS)} {rng.choice(WORDS)}" for _ in range(12)), 20, 2)
+    pages = headed(spark, lambda i: f"{head} Promise\n" + clean_page(rng), 6).unionByName(other)
+    assert {1000 + i for i in range(6)} <= found_headers(pages)
+
+
 def test_editor_on_held_out_pages():
     rng = random.Random(5)
     pages = [clean_page(rng) for _ in range(300)]
