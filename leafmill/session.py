@@ -24,14 +24,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, name: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where the session has none."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only on a single machine that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="leafmill-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as the session shuffles into, for work that is long for its bytes: adaptive execution
+    merges partitions by their bytes and would leave such work to a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage is cut and a lost executor costs nothing."""
     spark = df.sparkSession
