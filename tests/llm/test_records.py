@@ -141,23 +141,46 @@ def test_matches_and_sequels(spark):
     assert sum(out.get(i) == {1000 + i} for i in range(60) if i != 5) >= 57
 
 
-def test_retrieval_misses_nothing_over_the_floor(spark):
+def test_retrieval_equals_brute_force(spark):
     works = library(80)
+    works += [(3000 + i, "An editorial", ["Ann Editor"], "2020", "Journal of Things", None, None, f"10.1000/e.{i}") for i in range(40)]
+    works += [(4000 + i, w[1], w[2], w[3], w[4], w[5], w[6], w[7].upper()) for i, w in enumerate(works[:20])]
     papers = [(i, w[1], w[2], None, None, None, None, None) for i, w in enumerate(works[:30])]
-    q, r = spark.createDataFrame(papers, RECORD), spark.createDataFrame(works, RECORD)
-    found = {(x.query, x.record) for x in M.retrieve(q, r).collect()}
-    terms = {w[0]: set(M.terms(*w[1:])) for w in works}
-    df = {}
-    for t in terms.values():
-        for x in t:
-            df[x] = df.get(x, 0) + 1
-    idf = {t: round(np.log(1 + (80 - n + 0.5) / (n + 0.5)), 3) for t, n in df.items() if n <= max(M.COMMON * 80, M.COMMON_LEAST)}
+    papers += [(100 + i, None, w[2], w[3], w[4], None, None, w[7]) for i, w in enumerate(works[30:50])] + [(200, "An editorial", None, "2020", None, None, None, None), (201, None, [], None, None, None, None, None)]
+    q = spark.createDataFrame(papers, RECORD)
+    r = spark.createDataFrame(works, RECORD).withColumn("thing", F.xxhash64(F.lower("doi")))
+    got = {}
+    for x in M.retrieve(q, r).collect():
+        got.setdefault(x.query, []).append((round(x.score, 2), x.place))
+    lists = {w[0]: M.terms(*w[1:]) for w in works}
+    thing = {w[0]: w[7].lower() for w in works}
+    count = [{}, {}, {}]
+    sizes = [len({tuple(x[g]) for x in lists.values() if x[g]}) for g in range(3)]
+    for g in range(3):
+        for once in {tuple(x[g]) for x in lists.values()}:
+            for t in once:
+                count[g][t] = count[g].get(t, 0) + 1
+    idf = [{t: 0.001 if g == 2 else round(np.log(1 + (sizes[g] - n + 0.5) / (n + 0.5)), 3) for t, n in count[g].items()} for g in range(3)]
+    mean = np.mean([len(x[0]) + len(x[1]) for x in lists.values()])
     for p in papers:
-        for g in ("t", "a"):
-            own = {t: idf[t] for t in M.terms(*p[1:]) if t in idf and t[0] == g}
-            for k, t in terms.items():
-                if own and sum(v for x, v in own.items() if x in t) >= M.FLOOR * sum(own.values()):
-                    assert (p[0], k) in found
+        own, best = M.terms(*p[1:]), {}
+        for k, x in lists.items():
+            common = [set(own[g]) & set(x[g]) for g in range(3)]
+            square = [sum(idf[g][t] ** 2 for t in own[g] if t in idf[g]) for g in range(3)]
+            if any(square[g] and sum(idf[g][t] ** 2 for t in common[g]) >= M.FLOOR * (1 - 1e-9) * square[g] for g in range(3)):
+                score = sum(idf[g][t] for g in (0, 1) for t in common[g]) * (M.K1 + 1) / (1 + M.K1 * (1 - M.B + M.B * (len(x[0]) + len(x[1])) / mean))
+                best[thing[k]] = max(best.get(thing[k], 0.0), score)
+        want = sorted(best.values(), reverse=True)[: M.K]
+        assert np.allclose([s for s, _ in sorted(got.get(p[0], []), key=lambda x: x[1])], want, atol=0.02), p
+
+
+def test_logistic_fit_starts_from_its_prior():
+    prior = np.array([2.0, -1.0])
+    assert np.allclose(M.fit_logistic(np.zeros((0, 1)), np.zeros(0), prior), prior, atol=1e-6)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 1))
+    y = (rng.random(4000) < 1 / (1 + np.exp(-(3 * x[:, 0] + 1)))).astype(float)
+    assert np.allclose(M.fit_logistic(x, y, prior), [3, 1], atol=0.4)
 
 
 def test_matching_of_nothing(spark):
