@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.session import materialize
+from leafmill.session import materialize, spread
 
 # Fixed values: (written as, read as) steps of the chains.
 WRITTEN_UTF8 = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1254", "cp437", "cp850", "cp866", "koi8-r", "mac_roman", "iso8859-2", "iso8859-15", "gbk", "big5", "shift_jis", "euc_kr")
@@ -176,7 +176,7 @@ def garble_table(pages: DataFrame, text: str, file: str | None = None) -> tuple[
             yield pd.DataFrame(rows, columns=["core", "v", "df_v", "chain", "sure", "chains"])
 
     def match(kinds: DataFrame) -> DataFrame:
-        made = kinds.mapInPandas(forms, "core string, v string, df_v long, chain int, files_v long")
+        made = spread(kinds).mapInPandas(forms, "core string, v string, df_v long, chain int, files_v long")
         return kinds.join(made, "core").select("core", "v", "df", "df_v", "chain", "files", "files_v").mapInPandas(verified, "core string, v string, df_v long, chain int, sure boolean, chains array<int>")
 
     best = match(types).groupBy("core").agg(F.max_by(F.struct("v", "sure", "chains"), F.struct("sure", "df_v", -F.col("chain"), "v")).alias("best"), F.collect_set(F.struct("v", "sure", "chains")).alias("all"))

@@ -49,6 +49,8 @@ _ODD = "".join(TO_LATIN)
 #: Texts that Spark can bring to form by itself: ASCII, the letters and signs of Latin-1 that stand for themselves, and
 #: common punctuation and Greek letters that no rule here touches.
 ORDINARY = r"\A[\x{0}-\x{84}\x{86}-\x{9f}\x{a1}-\x{ac}\x{ae}-\x{ff}\x{2013}\x{2014}\x{2018}-\x{201e}\x{2026}\x{20ac}\x{2212}\x{2248}\x{2264}\x{2265}\x{394}\x{3b1}-\x{3b8}\x{3ba}-\x{3bc}\x{3c0}-\x{3c9}]*\z"
+#: Words that are sent to all tasks, at most.
+SENT = 200_000
 _WORD = re.compile(r"[^\W_]+(?:[\u0300-\u036f]+[^\W_]*)*")
 _HAS_ODD = re.compile("[" + _ODD + "]")
 #: Token borders for the corpus vocabulary; the same words that _WORD finds.
@@ -133,7 +135,7 @@ def _neighbour(words: list[tuple[int, str]], at: int) -> str:
     import bisect
 
     i = bisect.bisect_left(words, (at, ""))
-    for step in range(1, 8):
+    for step in range(1, max(i, len(words) - i) + 1):
         for j in (i - step, i + step):
             if 0 <= j < len(words):
                 firm = [script(c) for c in words[j][1] if c.isalpha() and c not in TO_LATIN]
@@ -147,7 +149,7 @@ def _replace(form: str, good: dict[str, str]) -> str:
 
 
 def consistent_forms(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, form, changed): the consistent form of every text.
+    """(key, form): the consistent form of every text.
 
     A null text has a null form, an empty one an empty form. Texts without special characters never leave the JVM.
     Repeated keys with different texts each get a row. Only the two named columns are read.
@@ -164,7 +166,10 @@ def consistent_forms(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     odd = materialize(rows.filter(special).mapInPandas(first, f"k {kind}, form string, words array<string>, options array<array<string>>"), "odd")
     asked = odd.select(F.explode(F.flatten("options")).alias("word")).distinct()
-    words = _vocabulary(rows.select("t")).join(asked, "word", "left_semi")
+    asked = materialize(asked, "asked")
+    # Few asked words go to the corpus, so that only the words found are shuffled; many meet its distinct words by a join.
+    corpus = _words(rows.select("t"))
+    words = corpus.join(F.broadcast(asked), "word").distinct() if asked.limit(SENT + 1).count() <= SENT else corpus.distinct().join(asked, "word", "left_semi")
     pairs = odd.filter(F.size("words") > 0).select("k", F.xxhash64("form").alias("h"), F.posexplode(F.arrays_zip("words", "options"))).select("k", "h", F.col("col.words").alias("old"), F.posexplode("col.options").alias("rank", "word"))
     good = pairs.join(words, "word").groupBy("k", "h", "old").agg(F.min_by("word", "rank").alias("new")).groupBy("k", "h").agg(F.map_from_entries(F.collect_list(F.struct("old", "new"))).alias("good"))
 
@@ -186,9 +191,23 @@ def _jvm_form(t: Column) -> Column:
     return F.when(trailing, F.regexp_replace(out, r"[ \t]+(?=\n|\z)", "")).otherwise(out)
 
 
-def _vocabulary(texts: DataFrame) -> DataFrame:
-    """Distinct words of all texts. What is looked up here holds no look-alikes, so words with some can't match."""
-    return texts.select(F.explode(F.split("t", NOT_WORD)).alias("word")).distinct()
+def _words(texts: DataFrame) -> DataFrame:
+    """Words of all texts. What is looked up here holds no look-alikes, so words with some can't match."""
+    return texts.select(F.explode(F.array_distinct(F.split("t", NOT_WORD))).alias("word"))
+
+
+def form_classes(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, form_class, text_class, links): a row per text that isn't null, in time that doesn't grow with the pairs.
+
+    Texts of one ``form_class`` look the same, those of one ``text_class`` are the same string; ``links`` counts the
+    texts that look the same but aren't. Classes are digests, so they are the same in every run.
+    """
+    raw = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.md5(F.col(text).cast("binary")).alias("raw"))
+    forms = consistent_forms(docs, key, text).filter("form is not null").select(F.col(key).alias("k"), F.md5(F.col("form").cast("binary")).alias("f"))
+    ids = raw.join(forms, "k")
+    sizes = ids.groupBy("f", "raw").agg(F.count("*").alias("n"))
+    links = sizes.join(sizes.groupBy("f").agg(F.sum("n").alias("all")), "f").select("f", "raw", (F.col("all") - F.col("n")).alias("links"))
+    return ids.join(links, ["f", "raw"]).select(F.col("k").alias(key), F.col("f").alias("form_class"), F.col("raw").alias("text_class"), "links")
 
 
 def alike(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.session import materialize
@@ -112,6 +112,6 @@ def mix(sized: DataFrame, targets: DataFrame, key: str, seed: int = 7, size: flo
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, actual_share, tokens, documents, most_copies): a row per target, reached or not."""
     by = mixed.groupBy("source").agg(F.sum(F.col("tokens").cast("long") * F.col("copies")).alias("tokens"), F.count("*").alias("documents"), F.max("copies").alias("most_copies"))
-    total = by.agg(F.sum("tokens").alias("total"))
-    rows = targets.select("source", "target_share").join(by, "source", "left").join(total)
+    # One row per target is left here, so a window over all of them is small.
+    rows = targets.select("source", "target_share").join(by, "source", "left").withColumn("total", F.sum("tokens").over(Window.partitionBy(F.lit(0))))
     return rows.select("source", "target_share", F.round(F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)), 6).alias("actual_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"))

@@ -1,8 +1,9 @@
 """Filling containers of fixed capacity by hierarchical residual packing.
 
-Items are packed best-fit inside bounded groups. Bins that are nearly full, or too full for the smallest item there is,
-are done; the others go up as items of their own into fewer groups and are packed again, until one group is left or a
-round joins hardly any.
+Items are packed best-fit inside bounded groups. Best fit leaves one bin per group at most that is no more than half full;
+two fuller ones can't be joined, so only those bins can still be saved. They go up as items of their own into fewer groups,
+with as many of the emptiest other bins to be joined with (no others could take more of them), and are packed again,
+until one group is left. Nearly full bins and all others are done.
 """
 
 from __future__ import annotations
@@ -19,8 +20,6 @@ from leafmill.session import materialize
 GROUP = 20_000
 #: Share of the capacity at which a bin is done.
 FULL = 0.995
-#: A round that joins less than this share of the bins is the last.
-WORTH = 0.01
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -56,18 +55,13 @@ def cut_items(sized: DataFrame, key: str, specs: list[tuple[str, int, int]]) ->
 def pack(items: DataFrame, group: int = GROUP) -> DataFrame:
     """(spec_name, capacity, container_id, item, piece_no, start_at, size): each piece in one container.
 
-    ``items`` is the result of cut_items. Items of size 0 take no room. Repeated items are packed as often as they
+    ``items`` is the result of cut_items. Items of size 0 take no room and share bins, one per group. Repeated items are packed as often as they
     occur; no items give no containers. A container's id is that of its first member within the spec.
     """
     kind = items.schema["item"].dataType.simpleString()
     member = f"struct<item: {kind}, piece_no: int, start_at: int, size: int>"
     bins_schema = f"spec_name string, capacity int, size int, members array<{member}>"
     bins = materialize(items.select("spec_name", "capacity", "size", F.array(F.struct("item", "piece_no", "start_at", "size")).alias("members")), "bins")
-    least = {r.spec_name: r.least for r in bins.groupBy("spec_name").agg(F.min("size").alias("least")).collect()}
-    names = list(least.items())
-    smallest = F.coalesce(*[F.when(F.col("spec_name") == n, F.lit(v)) for n, v in names]) if names else F.lit(0)
-    done_when = (F.col("size") >= FULL * F.col("capacity")) | (F.col("size") + smallest > F.col("capacity"))
-
     def local(rows: pd.DataFrame) -> pd.DataFrame:
         capacity = int(rows["capacity"].iloc[0])
         sizes, members = rows["size"].tolist(), rows["members"].tolist()
@@ -76,21 +70,31 @@ def pack(items: DataFrame, group: int = GROUP) -> DataFrame:
 
     finished: list[DataFrame] = []
     open_bins, salt = bins, 0
+    half = F.col("size") * 2 <= F.col("capacity")
     while True:
         counts = {r.spec_name: r["count"] for r in open_bins.groupBy("spec_name").count().collect()}
         if not counts:
             break
-        parts = F.coalesce(*[F.when(F.col("spec_name") == n, F.lit(-(-c // group))) for n, c in counts.items()])
+        groups = {n: -(-c // group) for n, c in counts.items()}
+        parts = F.coalesce(*[F.when(F.col("spec_name") == n, F.lit(g)) for n, g in groups.items()])
         placed = open_bins.withColumn("part", F.pmod(F.xxhash64(F.get("members", F.lit(0))["item"], F.get("members", F.lit(0))["piece_no"], F.lit(salt)), parts))
         packed = materialize(placed.groupBy("spec_name", "part").applyInPandas(local, bins_schema), "packed")
-        left = {r.spec_name: r.n for r in packed.groupBy("spec_name").agg(F.count("*").alias("n")).collect()}
-        # A spec stops when it was packed as one group, or when a round has joined hardly any bins.
-        over = [n for n, c in counts.items() if c <= group or c - left.get(n, 0) < WORTH * c]
-        stop = done_when | F.col("spec_name").isin(over) if over else done_when
-        finished.append(packed.filter(stop))
-        open_bins, salt = packed.filter(~stop), salt + 1
-        if len(over) == len(counts):
+        # Bins of size 0 stay apart: their members would have no bound. A spec that was one group is done.
+        over = [n for n, g in groups.items() if g == 1]
+        done = (F.col("size") >= FULL * F.col("capacity")) | (F.col("size") == 0) | F.col("spec_name").isin(over)
+        loose = {r.spec_name: r["count"] for r in packed.filter(~done & half).groupBy("spec_name").count().collect()}
+        finished.append(packed.filter(done | ~F.col("spec_name").isin(list(loose))))
+        if not loose:
             break
+        up = packed.filter(~done & half)
+        for n, c in sorted(loose.items()):
+            hosts = packed.filter((F.col("spec_name") == n) & ~done & ~half).withColumn("id", F.xxhash64("members"))
+            last = hosts.orderBy("size", "id").select("size", "id").limit(c).agg(F.max(F.struct("size", "id")).alias("m")).first().m
+            if last is not None:
+                chosen = (F.col("size") < last["size"]) | (F.col("size") == last["size"]) & (F.col("id") <= last["id"])
+                up = up.unionByName(hosts.filter(chosen).drop("id"))
+                finished.append(hosts.filter(~chosen).drop("id"))
+        open_bins, salt = materialize(up, "up"), salt + 1
     result = bins.limit(0)
     for part in finished:
         result = result.unionByName(part)

@@ -106,8 +106,12 @@ def p9_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.consistent_forms(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.form_classes(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.alike(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_paragraphs, p1_found, p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p5_matches, p5_found, p6_pieces, p6_found, p7_containers, p7_fill, p8_mix, p8_shares, p9_forms, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_paragraphs, p1_found, p2_clusters, p2_found, p3_found, p3_restored, p4_survivors, p4_found, p5_matches, p5_found, p6_pieces, p6_found, p7_containers, p7_fill, p8_mix, p8_shares, p9_forms, p9_classes, p9_found)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the splitting pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
-#: Runs without white space are cut here before they are tokenized: merging takes time that grows with their square.
+#: A run without white space that is longer than this is cut into parts of this length before it is tokenized, since merging
+#: takes time that grows with its square; the text around it isn't cut.
 LONG_RUN = 4096
+_RUNS = re.compile(rf"\S{{{LONG_RUN + 1},}}")
 
 
 @lru_cache(maxsize=2)
@@ -32,9 +35,13 @@ def count(text: str | None, path: str = VOCABULARY) -> int:
     if not text:
         return 0
     encode = encoder(path).encode_ordinary
-    if len(text) > LONG_RUN and max(map(len, text.split())) > LONG_RUN:
-        return sum(len(encode(text[i : i + LONG_RUN])) for i in range(0, len(text), LONG_RUN))
-    return len(encode(text))
+    total, done = 0, 0
+    for run in _RUNS.finditer(text) if len(text) > LONG_RUN else ():
+        # A blank before the run belongs to its first part.
+        start = run.start() - 1 if text[run.start() - 1 : run.start()] == " " else run.start()
+        total += len(encode(text[done:start])) + sum(len(encode(text[i : min(i + LONG_RUN, run.end())])) for i in range(start, run.end(), LONG_RUN))
+        done = run.end()
+    return total + len(encode(text[done:]))
 
 
 def with_tokens(docs: DataFrame, text: str, keep: list[str], path: str = VOCABULARY) -> DataFrame:

@@ -108,6 +108,27 @@ def test_copied_votes_count_less(spark):
     assert all(r.value.startswith("New") for r in out) and len(out) == 30
 
 
+def test_copiers_are_told_from_independent_sources(spark):
+    # b repeats a's values, false ones too; c errs by itself.
+    rng = random.Random(9)
+    names = {"a": 1, "b": 2, "c": 3}
+    rows = []
+    for n in range(400):
+        a = n if rng.random() < 0.7 else 10_000 + rng.randrange(10)
+        c = n if rng.random() < 0.7 else 20_000 + rng.randrange(10)
+        held = {}
+        for s, v in (("a", a), ("b", a), ("c", c)):
+            held.setdefault(v, []).append(names[s])
+        rows += [(n, "title", sorted(voters), v == n) for v, voters in held.items()]
+    judged = spark.createDataFrame(rows, "file_id long, field string, voters array<long>, right boolean")
+    accuracy = spark.createDataFrame([(1, 0.7), (2, 0.7), (3, 0.7)], "s long, a double")
+    got = {(r.lo, r.hi): r.copies for r in V.copying(judged, accuracy).collect()}
+    assert got[1, 2] > 0.99 and got[1, 3] < 0.05 and got[2, 3] < 0.05
+    patterns = spark.createDataFrame([([1, 2],), ([1, 3],), ([1],)], "voters array<long>")
+    votes = {tuple(r.voters): r.votes for r in V._votes(patterns, accuracy, V.copying(judged, accuracy)).collect()}
+    assert votes[1,] < votes[1, 2] < votes[1, 3] and votes[1, 2] < votes[1,] + 0.25 * (votes[1, 3] - votes[1,])
+
+
 def test_fusion_of_nothing(spark):
     assert V.fuse(run(spark, [(1, 1, None, None, None)]).limit(0)).count() == 0
 
@@ -214,6 +235,16 @@ def test_packing_in_groups_comes_near_one_group(spark):
     assert P.fill(P.pack(P.cut_items(df, "doc_id", [("small", 512, 0)]))).first().fill > 0.97
 
 
+def test_packing_joins_what_is_left_of_groups(spark):
+    # Bins over half full that nothing fits into, and few small items that fit into the emptiest only.
+    rows = [(i, 80) for i in range(600)] + [(1000 + i, 60) for i in range(20)] + [(2000 + i, 40) for i in range(20)] + [(3000 + i, 0) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens int")
+    out = P.pack(P.cut_items(df, "doc_id", [("s", 100, 0)]), group=30).toPandas()
+    assert len(out) == len(rows) and out.groupby("container_id")["size"].sum().max() <= 100
+    full = out[out["size"] > 0]
+    assert full["container_id"].nunique() <= 620 + 5
+
+
 # ---- mixing
 
 

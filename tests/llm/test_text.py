@@ -231,3 +231,15 @@ def test_token_counts(spark, odd_rows):
     got = T.with_tokens(odd_rows, "text", ["page_id"]).collect()
     assert {r.page_id: r.tokens for r in got if r.page_id != 4} == {1: 0, 2: 0, 3: T.count("   \n "), 5: 3}
     assert T.count(None) == 0 and T.count("hello world") == 2
+
+
+def test_long_runs_are_cut_alone():
+    run, around = "x7" * 5000, "Some words stand before the run and others after it. "
+    assert T.count(around * 200 + run + " " + around) <= T.count(around * 200) + T.count(run) + T.count(" " + around) + 2
+    assert T.count(around * 400) == len(T.encoder().encode_ordinary(around * 400))
+
+
+def test_form_classes_count_links(spark):
+    df = spark.createDataFrame([(1, "plain words here"), (2, "plain words here"), (3, "pl\u200bain words here"), (4, "others"), (5, None), (6, "")], "doc_id long, text string")
+    got = {r.doc_id: r.links for r in L.form_classes(df, "doc_id", "text").collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: 0, 6: 0}
