@@ -177,33 +177,92 @@ def train(pages: list[str], known: dict[str, int], trusted_least: int) -> dict[s
     for _ in range(EPOCHS):
         rng.shuffle(examples)
         for printed, read, ops in examples:
-            best, feats = max(((o, f) for o, f in ops), key=lambda x: model.score("edit", x[1]))
-            edit = model.score("edit", feats) > 0
+            best, feats = max(((o, f) for o, f in ops), key=lambda x: model.score(x[0][0], x[1]))
+            # Keeping the word scores 0.
+            edit = model.score(best[0], feats) > 0
             right = best[3] == printed
             if edit and not right:
-                model.update("edit", feats, -1.0)
+                model.update(best[0], feats, -1.0)
             if printed != read and not (edit and right):
                 for o, f in ops:
                     if o[3] == printed:
-                        model.update("edit", f, 1.0)
+                        model.update(o[0], f, 1.0)
                         break
             model.tick()
+    joins = join_examples(pages, known, rng)
+    for _ in range(EPOCHS):
+        rng.shuffle(joins)
+        for feats, right in joins:
+            if (model.score("join", feats) > 0) != right:
+                model.update("join", feats, 1.0 if right else -1.0)
+            model.tick()
     return model.averaged()
 
 
+def line_end(left: str, mark: str, right: str, known: dict[str, int]) -> list[str]:
+    """Features of joining the word before a hyphen at a line end with the first word of the next line; [] where nothing
+    can be joined."""
+    a, b = left.lstrip(_OPEN + _EDGE), core(right)
+    if len(a) < 2 or any(c.isdigit() for c in a) or a.isupper() or not a[-1].isalpha() or not b:
+        return []
+    joined, compound = a + b, f"{a}-{b}"
+    whole = known.get(joined, 0) or known.get(joined[:1].lower() + joined[1:], 0)
+    kept = known.get(compound, 0)
+    # A small letter at the start may be misread or wrongly decoded.
+    first = "small" if b[0].islower() else "odd" if right[0] in "I01!$(|" or not right[0].isascii() else "other"
+    state = f"{int(a in known)}{int(b in known)}"
+    more = "tie" if not whole and not kept else "whole" if whole >= kept else "kept"
+    near = "" if whole or kept else str(int(bool(operations(joined, known))))
+    after = int(right[:1] in "-‐")
+    words = int(a.isalpha() and b.isalpha())
+    sign = "soft" if mark in "\xad¬" else "dash" if mark in "—–~" else "plain"
+    return ["e", f"e:{more}", f"e:{more} {first}", f"e:{more} {state} {near}", f"e:{more} {sign} {words}", f"e:{more} {first} {sign} {near}", f"e:after {after} {int(compound[:-1] in known)}", f"e:{more} {after}", f"e:{first} {state} {sign}", f"e:len {min(len(a), 6)} {more}"]
+
+
+def blank(x: str, y: str, known: dict[str, int]) -> list[str]:
+    """Features of joining two words over a blank."""
+    n, m = known.get(x, 0), known.get(y, 0)
+    whole = known.get(x + y, 0)
+    ratio = _bucket(whole / (min(n, m) + 1))
+    return ["b", f"b:{int(n > 0)}{int(m > 0)}", f"b:r {ratio}", f"b:r {ratio} {int(n > 0)}{int(m > 0)}", f"b:len {min(len(x), 4)} {min(len(y), 4)}", f"b:w {_bucket(whole)}"]
+
+
+def join_examples(pages: list[str], known: dict[str, int], rng: random.Random) -> list[tuple[list[str], bool]]:
+    """(features, whether to join) from clean pages: words cut at random are to be joined; compounds at their own hyphen,
+    suspended hyphens, dashes and neighbouring words are not."""
+    out: list[tuple[list[str], bool]] = []
+    for page in pages:
+        tokens = page.split()
+        for i, token in enumerate(tokens):
+            word, after = core(token), tokens[i + 1] if i + 1 < len(tokens) else ""
+            parts = re.split(r"[-‐‑–]", word)
+            if len(parts) == 2 and all(parts):
+                out.append((line_end(parts[0], "-", parts[1], known), False))
+            if after and token[-1] in "-‐–—" and len(token) > 2:
+                out.append((line_end(token[:-1], token[-1], after, known), False))
+            if word.isalpha() and len(word) > 4 and rng.random() < 0.15:
+                at = rng.randint(2, len(word) - 2)
+                out.append((line_end(word[:at], rng.choice("-----‐­¬—~"), word[at:] + token[len(token.rstrip(_EDGE)) :], known), True))
+                if word in known:
+                    out.append((blank(word[:at], word[at:], known), True))
+            if after and word.isalpha() and known.get(word + core(after), 0):
+                out.append((blank(word, core(after), known), False))
+        if len(out) > TRAINING_WORDS:
+            break
+    return [(f, right) for f, right in out if f]
+
+
 # ---------------------------------------------------------------- furniture
 
 _FOLD_MANY = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("vv", "w"), ("li", "h")]
 _FOLD_ONE, _FOLD_AWAY = bytes.maketrans(b"c(1!ltf|0aq$59b8", b"eeiiiiiiooossghh"), b"~'.`,"
 _DIGIT = re.compile(r"\d")
 _APART = re.compile(r"(?<![^\W\d_])\d+(?![^\W\d_])")
-#: Conventional forms of running lines, whichever names they hold.
-_CONVENTION = re.compile(r"^(?:[^\W\d_]\S+ et al\.?|Downloaded (?:by|from) .*|.{3,60} · .{3,}|(?:©|\(c\)|Copyright) .*all rights reserved\.?)$", re.I)
 _PAGE = [
     re.compile(r"^\[\s*([\dlIOSoBi!|$]{1,5})\s*\]$"),
     re.compile(r"^([\dlIOSo!|$]{1,5})\s*/\s*[\dlIOSo!|$]{1,5}$"),
     re.compile(r"^p\s*[.,]?\s*([\dlIOSo!|$]{1,5})$", re.I),
-    re.compile(r"^(?:page|seite|pagina|página|pag\.?|s\.|folio|faqc|fage|poge|pagc|pa9e)\s*([\dlIOSo!|$]{1,5})(?:\s*\w{2,3}\s*[\dlIOSo!|$]{1,5})?$", re.I),
+    re.compile(r"^(?:page|seite|pagina|página|pag\.?|s\.|folio)\s*([\dlIOSo!|$]{1,5})(?:\s*\w{2,3}\s*[\dlIOSo!|$]{1,5})?$", re.I),
     re.compile(r"^[-–—~]\s*([\dlIOSo!|$]{1,5})\s*[-–—~]$"),
 ]
 _DIGITS = str.maketrans("lIOSo!|$Bi", "1105011581")
@@ -316,7 +375,7 @@ def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offset
             continue
         rest, number = split_running(line, page_num)
         value = page_number(number, page_num)[0] if number else -99
-        if len(line) <= LONGEST and (headlike(rest) and line_key(rest) in furniture or outer is None and _CONVENTION.match(rest)):
+        if len(line) <= LONGEST and headlike(rest) and line_key(rest) in furniture:
             out[i] = {"header"} | ({"page_number"} if number else set())
         elif number and len(line) <= LONGEST and (outer is None or value == 1 or value in offsets) and re.search(r"[^\W\d_]{2}.*\s{3,}\S+$|^\S+\s{3,}.*[^\W\d_]{2}", line):
             out[i] = {"header", "page_number"}
@@ -331,33 +390,6 @@ def line_key(line: str) -> int:
     return _key(folded_line(line))
 
 
-def cut_word(left: str, mark: str, right: str, known: dict[str, int]) -> bool:
-    """Whether a line end cuts a word in two, rather than being a hyphen that belongs there."""
-    a, b = left.lstrip(_OPEN + _EDGE), core(right)
-    if len(a) < 2 or any(c.isdigit() for c in a) or a.isupper() or not a[-1].isalpha():
-        return False
-    if right[:1] in "-‐":
-        return f"{a}-{b}" in known or a not in known
-    if not b:
-        return False
-    if not b[0].islower():
-        # A small letter at the start may be misread or wrongly decoded.
-        odd = right[0] in "I01!$(|" or not right[0].isascii()
-        return odd and (bool(operations(a + right.rstrip(_EDGE), known)) or not right[0].isascii() and a not in known)
-    joined, compound = a + b, f"{a}-{b}"
-    whole = known.get(joined, 0) or known.get(joined[:1].lower() + joined[1:], 0)
-    kept = known.get(compound, 0)
-    if whole or kept:
-        return whole >= kept
-    if mark in "\xad¬":
-        return True
-    if operations(joined, known):
-        return True
-    if mark in "—–~" and not (b.isalpha() and a.isalpha()):
-        return False
-    return not (a in known and b in known)
-
-
 _CUT = re.compile(r"(\S*[^\W\d_])([-‐‑¬\xad—–~])[.,'|~]?$")
 
 
@@ -374,13 +406,13 @@ class Editor:
 
     def __init__(self, known: dict[str, int], trusted_least: int, weights: dict[str, dict[str, float]], trusted: set[str] | None = None) -> None:
         self.known, self.least = known, trusted_least
-        self.weights = weights.get("edit", {})
+        self.weights = weights
         self.trusted = trusted_words(known) if trusted is None else trusted
         self.seen: dict[str, tuple[str, list]] = {}
 
-    def _good(self, feats: list[str]) -> float:
-        w = self.weights
-        return sum([w.get(f, 0.0) for f in feats])
+    def _good(self, kind: str, feats: list[str]) -> float:
+        w = self.weights.get(kind)
+        return sum([w.get(f, 0.0) for f in feats]) if w else 0.0
 
     def _ops(self, token: str) -> tuple[str, list]:
         """(word of the token, its edits with the page-independent part of their score)."""
@@ -392,7 +424,7 @@ class Editor:
         out = []
         for o in operations(c, known, RATIO * n if n else self.least):
             always, shape, ratio = lasting(c, o, known, self.least)
-            out.append((o, self._good(always), shape, ratio))
+            out.append((o, self._good(o[0], always), shape, ratio))
         return c, out
 
     def edits(self, lines: list[str], skip: set[int], loose: set[tuple[int, int]], hint: bool) -> tuple[dict[tuple[int, int], str], set[tuple[int, int]]]:
@@ -423,7 +455,7 @@ class Editor:
                     for a, b, at in ((j, j + 1, j), (j - 1, j, j - 1)):
                         if 0 <= a and b < len(tokens) and (i, at) not in joins and (i, a) not in loose and (i, b) not in loose:
                             x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
-                            if x.isalpha() and y.isalpha() and known.get(x + y, 0) > max(self.least, RATIO * min(known.get(x, 0), known.get(y, 0))) and not (known.get(x, 0) and known.get(y, 0)):
+                            if x.isalpha() and y.isalpha() and known.get(x + y, 0) > self.least and self._good("join", blank(x, y, known)) > 0:
                                 joins.add((i, at))
                                 break
         votes = Counter(w for *_, ops in cases for w in {o[0][1] for o in ops})
@@ -437,7 +469,7 @@ class Editor:
                     continue
             if (i, j) in joins or (i, j - 1) in joins:
                 continue
-            best, score = max(((o, base + self._good(passing(shape, ratio, votes[o[1]], hint))) for o, base, shape, ratio in ops), key=lambda x: x[1])
+            best, score = max(((o, base + self._good(o[0], passing(shape, ratio, votes[o[1]], hint))) for o, base, shape, ratio in ops), key=lambda x: x[1])
             if score > 0:
                 out[(i, j)] = best[3]
         return out, joins
@@ -454,11 +486,11 @@ class Editor:
             if i in skip or i + 1 in skip:
                 continue
             end = lines[i].rstrip()
-            m = _CUT.search(end[-60:]) if end and (end[-1] in HYPHENS or end[-2:-1] in HYPHENS and end[-2:-1]) else None
+            m = _CUT.search(end.rsplit(None, 1)[-1]) if end and (end[-1] in HYPHENS or end[-2:-1] in HYPHENS and end[-2:-1]) else None
             if m:
                 after = lines[i + 1].split(None, 1)
                 before = lines[i].split()
-                if after and cut_word(m.group(1), m.group(2), after[0], self.known):
+                if after and self._good("join", line_end(m.group(1), m.group(2), after[0], self.known)) > 0:
                     cuts.add(i)
                 loose |= {(i, len(before) - 1), (i + 1, 0)}
         if cuts:
@@ -476,8 +508,6 @@ class Editor:
             if i in skip:
                 continue
             tokens = line.split()
-            if (i, len(tokens) - 1) in words:
-                pass
             fixed, glue = [], False
             for j, token in enumerate(tokens):
                 new = words.get((i, j))
