@@ -41,10 +41,12 @@ def canonical_company(c: Column) -> Column:
 def unique_containment(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, least: int = 10) -> DataFrame:
     """(left_id, right_id) where exactly one right text contains, or is contained in, the left text, case apart.
 
-    A shared text has its rarest word on both sides, so the pairs come from an equi-join on words and not from a product:
-    every word of the contained text is a word of the other, its rarest word included.
+    Every run of ``run`` characters of the contained text is one of the other, its rarest run included, so the pairs come
+    from an equi-join on runs and not from a product; the text may begin and end inside a word. Texts under ``least``
+    characters, which is no less than ``run``, take no part.
     """
-    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != ""))
+    run = min(8, least)
+    words = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - run + 1), lambda i: F.substring(c, i, F.lit(run))))
     a = left.select(F.col(left_id).alias("a"), F.lower(left_text).alias("ta")).filter(F.length("ta") >= least)
     b = right.select(F.col(right_id).alias("b"), F.lower(right_text).alias("tb")).filter(F.length("tb") >= least)
     wa, wb = a.select("a", F.explode(words(F.col("ta"))).alias("w")), b.select("b", F.explode(words(F.col("tb"))).alias("w"))

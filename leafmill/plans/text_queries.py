@@ -252,10 +252,10 @@ def l_metadata_coalesce(spark, d):
     return joined.select("p.paper_id", *fields, F.col("w.work_id").isNotNull().alias("verified"))
 
 
-@query("SELECT file_id, k AS name, max(length(v))::BIGINT AS n, arg_max(v, length(v) * 1000000 - result_id)[1:200] AS content FROM (SELECT file_id, result_id, unnest(map_keys(sections)) AS k, unnest(map_values(sections)) AS v FROM extraction_result WHERE sections IS NOT NULL) WHERE v IS NOT NULL GROUP BY 1, 2")
+@query("SELECT file_id, k AS name, max(length(v))::BIGINT AS n, md5(arg_max(v, length(v) * 1000000 - result_id)) AS content FROM (SELECT file_id, result_id, unnest(map_keys(sections)) AS k, unnest(map_values(sections)) AS v FROM extraction_result WHERE sections IS NOT NULL) WHERE v IS NOT NULL GROUP BY 1, 2")
 def l_sections_longest(spark, d):
     rows = table(spark, d, "extraction_result").select("file_id", "result_id", F.explode("sections").alias("name", "v")).filter("v is not null")
-    return rows.groupBy("file_id", "name").agg(F.max(F.length("v")).cast("bigint").alias("n"), F.substring(F.max_by("v", F.length("v").cast("bigint") * 1000000 - F.col("result_id")), 1, 200).alias("content"))
+    return rows.groupBy("file_id", "name").agg(F.max(F.length("v")).cast("bigint").alias("n"), F.md5(F.max_by("v", F.length("v").cast("bigint") * 1000000 - F.col("result_id")).cast("binary")).alias("content"))
 
 
 @query("SELECT file_id, list_extract(string_split(p, chr(10)), 1)::INT AS page, length(p)::BIGINT AS n FROM (SELECT file_id, unnest(string_split(t, '===PAGE ')[2:]) AS p FROM (SELECT file_id, string_agg('===PAGE ' || page_num || chr(10) || coalesce(text, ''), '' ORDER BY page_num, page_id) AS t FROM page_text GROUP BY 1))")
@@ -268,23 +268,26 @@ def l_page_markers(spark, d):
 
 # ---- predicates
 
+
+def _with_page_counts(pages):
+    """Pages with the number of pages of their file: counts are joined, so texts stay where they are. A null file counts as one."""
+    counts = pages.groupBy("file_id").agg(F.count("*").alias("pages")).withColumnRenamed("file_id", "__f")
+    return pages.join(counts, F.col("file_id").eqNullSafe(F.col("__f")), "left").drop("__f")
+
+
 _PAGES = "SELECT p.*, count(*) OVER (PARTITION BY file_id) AS pages FROM page_text p"
 _BARE = f"length({sql_replace('coalesce(text, ' + chr(39) * 2 + ')', [STRIP])})"
 
 
 @query(f"SELECT page_id, CASE WHEN page_num = 0 THEN 'TITLE_PAGE' WHEN {_BARE} < 100 THEN 'FIGURE_PAGE' WHEN pos > 0 AND pos - 1 < 0.3 * length(text) THEN 'REFERENCES_PAGE' WHEN page_num >= pages - 2 AND contains(lower(coalesce(text, '')), 'supplementary') THEN 'SUPPLEMENTARY_PAGE' ELSE 'TEXT_PAGE' END AS class FROM (SELECT *, instr(text, nullif(regexp_extract(text, {quoted(P.REFERENCES_HEADER.replace('(?md)', '(?m)'))}, 0), '')) AS pos FROM ({_PAGES}))")
 def f_page_class(spark, d):
-    from pyspark.sql import Window
-
-    pages = table(spark, d, "page_text").withColumn("pages", F.count("*").over(Window.partitionBy("file_id")))
+    pages = _with_page_counts(table(spark, d, "page_text"))
     return pages.select("page_id", P.paper_page_class(F.col("text"), F.col("page_num"), F.col("pages")).alias("class"))
 
 
 @query(f"SELECT page_id, CASE WHEN page_num = 0 THEN 'COVER' WHEN page_num >= pages - 10 AND regexp_matches(coalesce(text, ''), {quoted(P.SEARCH_REPORT)}) THEN 'SEARCH_REPORT' WHEN {_BARE} < 100 THEN 'FIGURE_PAGE' ELSE 'TEXT_HEAVY' END AS class FROM ({_PAGES})")
 def f_patent_page_class(spark, d):
-    from pyspark.sql import Window
-
-    pages = table(spark, d, "page_text").withColumn("pages", F.count("*").over(Window.partitionBy("file_id")))
+    pages = _with_page_counts(table(spark, d, "page_text"))
     return pages.select("page_id", P.patent_page_class(F.col("text"), F.col("page_num"), F.col("pages")).alias("class"))
 
 
