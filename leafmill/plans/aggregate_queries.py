@@ -185,25 +185,29 @@ def a_thread_summary(spark, d):
     return table(spark, d, "extraction_result").groupBy("file_id").agg(F.count("*").alias("n"), day(F.min("processed_at")).alias("first_day"), day(F.max("processed_at")).alias("last_day"), F.array_join(F.array_sort(F.collect_set("extraction_method")), ",").alias("methods"), F.unix_micros(F.max("processed_at")).alias("newest"))
 
 
-_MENTION = "SELECT coalesce(source, '?') AS doc, report_id AS ord, trim(unnest(companies_mentioned)) AS company, assets_mentioned[1] AS name, doc_type AS target, source AS payload, deals[1].type AS stage FROM ci_report"
+_MENTION = "SELECT doc, report_id * 1000 + pos AS ord, trim(company) AS company, name, target, types FROM (SELECT doc, report_id, company, target, types, unnest(assets_mentioned) AS name, unnest(range(1, len(assets_mentioned) + 1)) AS pos FROM (SELECT coalesce(source, '?') AS doc, report_id, unnest(companies_mentioned) AS company, doc_type AS target, assets_mentioned, list_filter(list_transform(coalesce(deals, []), lambda x: x.type), lambda x: coalesce(x, '') <> '') AS types FROM ci_report))"
 
 
 @query(
-    f"""WITH a AS (SELECT * FROM ({_MENTION}) WHERE coalesce(trim(name), '') <> '')
-    SELECT doc AS doc_id, company, lower(trim(name)) AS k, arg_min(name, ord) AS name, arg_min(target, ord) FILTER (WHERE coalesce(target, '') <> '') AS target, arg_min(stage, ord) FILTER (WHERE coalesce(stage, '') <> '') AS stage,
-    coalesce(arg_min(target, ord) FILTER (WHERE target IS NOT NULL), '') AS first_indication, count(DISTINCT stage) FILTER (WHERE coalesce(stage, '') <> '') AS n_updates FROM a GROUP BY 1, 2, 3"""
+    f"""WITH a AS (SELECT *, lower(trim(name)) AS k FROM ({_MENTION}) WHERE coalesce(trim(name), '') <> ''),
+    u AS (SELECT doc, company, k, count(DISTINCT t) AS n FROM (SELECT doc, company, k, unnest(types) AS t FROM a) GROUP BY 1, 2, 3)
+    SELECT doc AS doc_id, company, k, arg_min(name, ord) AS name, arg_min(target, ord) FILTER (WHERE coalesce(target, '') <> '') AS target, arg_min(types[1], ord) FILTER (WHERE len(types) > 0) AS stage,
+    coalesce(arg_min(target, ord) FILTER (WHERE target IS NOT NULL), '') AS first_indication, coalesce(any_value(u.n), 0) AS n_updates FROM a LEFT JOIN u USING (doc, company, k) GROUP BY 1, 2, 3"""
 )
 def a_extraction_merge(spark, d):
-    rows = table(spark, d, "ci_report").select(F.coalesce("source", F.lit("?")).alias("doc_id"), F.col("report_id").alias("ord"), F.explode("companies_mentioned").alias("company"), F.get("assets_mentioned", F.lit(0)).alias("name"), F.col("doc_type").alias("target"), F.col("source").alias("payload"), F.get("deals", F.lit(0))["type"].alias("stage"))
+    types = F.filter(F.transform(F.coalesce("deals", F.array().cast("array<struct<parties:array<string>,type:string,details:string>>")), lambda x: x["type"]), lambda x: F.coalesce(x, F.lit("")) != "")
+    reports = table(spark, d, "ci_report").select(F.coalesce("source", F.lit("?")).alias("doc_id"), "report_id", F.explode("companies_mentioned").alias("company"), F.col("doc_type").alias("target"), F.col("source").alias("payload"), types.alias("types"), "assets_mentioned")
+    rows = reports.select("*", F.posexplode("assets_mentioned").alias("pos", "name")).withColumn("ord", F.col("report_id") * 1000 + F.col("pos") + 1).withColumn("stage", F.get("types", F.lit(0)))
     some = lambda c: F.when(F.col(c).isNotNull(), F.array(c)).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("indications", some("target")).withColumn("clinical_data", some("payload")).withColumn("updates", F.array(F.struct(F.col("stage").alias("text"), F.col("indications").alias("indications"))))
+    rows = rows.withColumn("indications", some("target")).withColumn("clinical_data", some("payload")).withColumn("updates", F.transform("types", lambda t: F.struct(t.alias("text"), F.col("indications").alias("indications"))))
     merged = G.merge_assets(rows.filter(F.coalesce(F.trim("name"), F.lit("")) != ""))
     return merged.select("doc_id", "company", F.lower(F.trim("name")).alias("k"), "name", "target", "stage", F.coalesce(F.get("indications", F.lit(0)), F.lit("")).alias("first_indication"), F.coalesce(F.when(F.col("updates").isNotNull(), F.size("updates")), F.lit(0)).cast("bigint").alias("n_updates"))
 
 
 @query()
 def a_extraction_merge_greedy(spark, d):
-    rows = table(spark, d, "ci_report").select(F.coalesce("source", F.lit("?")).alias("doc_id"), F.col("report_id").alias("ord"), F.explode("companies_mentioned").alias("company"), F.get("assets_mentioned", F.lit(0)).alias("name"))
+    reports = table(spark, d, "ci_report").select(F.coalesce("source", F.lit("?")).alias("doc_id"), "report_id", F.explode("companies_mentioned").alias("company"), "assets_mentioned")
+    rows = reports.select("doc_id", "report_id", "company", F.posexplode("assets_mentioned").alias("pos", "name")).select("doc_id", (F.col("report_id") * 1000 + F.col("pos") + 1).alias("ord"), "company", "name")
     return G.greedy_assets(rows.filter("name is not null and company is not null"))
 
 
