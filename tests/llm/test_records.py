@@ -74,8 +74,8 @@ def test_average_linkage_equals_the_one_by_one_algorithm(spark):
 
 def test_short_forms_are_learned(spark):
     rng = random.Random(11)
-    rows, given = [], ["William", "Hanan", "Oriol", "Priya", "Soren", "Tariq", "Wanda", "Chidi"]
-    for i in range(200):
+    rows, given = [], ["William", *(f"{a}{b}" for a in ("Han", "Ori", "Pry", "Sor", "Tar", "Wen", "Chi", "Zol") for b in ("abel", "uko", "etti", "orma", "yzzi"))]
+    for i in range(400):
         surname = f"Fam{i}ilo".replace("0", "a").replace("1", "e").replace("2", "i").replace("3", "o").replace("4", "u").replace("5", "ka").replace("6", "me").replace("7", "ri").replace("8", "to").replace("9", "zu")
         for g in rng.sample(given, 2):
             rows += [("author", f"{g} {surname}")] + ([("author", f"Bill {surname}")] if g == "William" else [])
