@@ -59,11 +59,21 @@ def unique_containment(left: DataFrame, right: DataFrame, left_id: str, left_tex
 
 def best_by_words(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, longer_than: int = 3, least: int = 2) -> DataFrame:
     """(left_id, right_id, score): the right row that holds most of the left row's words (repeats count); the first id of
-    equal ones; under ``least`` none."""
+    equal ones; under ``least`` none.
+
+    Right rows of the same words count as one, the first of them. Words that all of them hold tell none apart: they are
+    added to the scores without a join.
+    """
     words = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: F.length(w) > longer_than)
     a = left.select(F.col(left_id).alias("a"), F.explode(words(F.col(left_text))).alias("w")).groupBy("a", "w").agg(F.count("*").alias("n"))
-    b = right.select(F.col(right_id).alias("b"), F.explode(F.array_distinct(words(F.col(right_text)))).alias("w"))
-    score = a.join(b, "w").groupBy("a", "b").agg(F.sum("n").alias("score")).filter(F.col("score") >= least)
+    sets = right.select(F.col(right_id).alias("b"), F.array_sort(F.array_distinct(words(F.col(right_text)))).alias("ws")).groupBy("ws").agg(F.min("b").alias("b"))
+    size = sets.agg(F.count("*").alias("n"), F.min("b").alias("first")).first()
+    held = sets.select("b", F.explode("ws").alias("w"))
+    everywhere = held.groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") == size.n).select("w")
+    shared = a.join(everywhere, "w").groupBy("a").agg(F.sum("n").alias("shared"))
+    apart = a.join(held.join(everywhere, "w", "left_anti"), "w").groupBy("a", "b").agg(F.sum("n").alias("s"))
+    alone = shared.select("a", F.lit(size.first).cast(sets.schema["b"].dataType).alias("b"), F.lit(0).cast("long").alias("s"))
+    score = apart.unionByName(alone).join(shared, "a", "left").select("a", "b", (F.col("s") + F.coalesce("shared", F.lit(0))).alias("score")).filter(F.col("score") >= least)
     return first_by(score, ["a"], F.desc("score"), F.col("b")).select(F.col("a").alias(left_id), F.col("b").alias(right_id), "score")
 
 
