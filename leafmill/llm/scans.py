@@ -32,8 +32,11 @@ CONFUSIONS = [
 ]
 STRAY = "|~'.`^*_"
 HYPHENS = "-‐‑¬­—–~"
-#: A word is trusted from this share of the pages on (and from TRUSTED_LEAST occurrences): at most tokens of a page / share words.
-TRUSTED_SHARE, TRUSTED_LEAST = 5e-5, 4
+#: A word is known from so many occurrences on.
+TRUSTED_LEAST = 4
+#: Known words on this share of the pages and more are sent to all tasks: at most tokens of a page / share words. Pages
+#: get the counts of the others that they ask for by a join.
+TRUSTED_SHARE = 5e-5
 #: A word is taken for a misreading of another that is at least this many times as frequent.
 RATIO = 12
 #: Clean pages that the editor is trained on, at most (chosen by hash), and words it learns from, at most.
@@ -393,11 +396,106 @@ def line_key(line: str) -> int:
 _CUT = re.compile(r"(\S*[^\W\d_])([-‐‑¬\xad—–~])[.,'|~]?$")
 
 
+def _cut(end: str) -> re.Match | None:
+    """The last word of a line and its hyphen, if it ends with one."""
+    return _CUT.search(end.rsplit(None, 1)[-1]) if end and (end[-1] in HYPHENS or end[-2:-1] and end[-2:-1] in HYPHENS) else None
+
+
 def trusted_words(known: dict[str, int]) -> set[str]:
     """Known words that no single edit turns into a word that is RATIO times as frequent."""
     return {w for w, n in known.items() if not operations(w, known, RATIO * n)}
 
 
+class Layered:
+    """Counts of words: those that all tasks hold, and those that a page has got."""
+
+    def __init__(self, base: dict[str, int], more: dict[str, int]) -> None:
+        self.base, self.more = base, more
+
+    def get(self, word: str, default: int = 0) -> int:
+        n = self.base.get(word)
+        return self.more.get(word, default) if n is None else n
+
+    def __contains__(self, word: str) -> bool:
+        return word in self.base or word in self.more
+
+
+class Asking:
+    """Stands in for the counts of words and notes which others than those held would be looked up, as far as a bitmap of
+    the rarer words lets it: where words share a bit more are asked for than there are, never fewer."""
+
+    def __init__(self, base: dict[str, int], bitmap: bytes) -> None:
+        self.base, self.bitmap, self.asked = base, bitmap, set()
+
+    def maybe(self, word: str) -> bool:
+        at = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) & ((1 << BITS) - 1)
+        return bool(self.bitmap[at >> 3] >> (at & 7) & 1)
+
+    def get(self, word: str, default: int = 0) -> int:
+        n = self.base.get(word)
+        if n is not None:
+            return n
+        if self.maybe(word):
+            self.asked.add(word)
+        return default
+
+    def __contains__(self, word: str) -> bool:
+        return self.get(word, 0) > 0
+
+
+class Asker:
+    """The rarer words whose counts a page needs, each with the word of the page it is needed for ('' for line ends)."""
+
+    def __init__(self, known: dict[str, int], bitmap: bytes, trusted: set[str]) -> None:
+        self.known, self.trusted = known, trusted
+        self.counts = Asking(known, bitmap)
+        self.seen: dict[str, tuple[str, frozenset[str]]] = {}
+
+    def _of(self, token: str) -> tuple[str, frozenset[str]]:
+        counts = self.counts
+        counts.asked.clear()
+        c = standing(token, counts)
+        # A rarer word is never RATIO times as frequent as one that all tasks hold.
+        if len(c) < 2 or c in self.known or _CODE.match(c) or not _LETTERS.search(c):
+            return c, frozenset()
+        ops = operations(c, counts, TRUSTED_LEAST)
+        wanted = set(counts.asked)
+        return c, frozenset(wanted | ({c} if (ops or wanted) and counts.maybe(c) else set()))
+
+    def page(self, text: str) -> set[tuple[str, str]]:
+        counts, known, out = self.counts, self.known, set()
+        lines = text.split("\n")
+        for i, line in enumerate(lines):
+            tokens = line.split()
+            for j, token in enumerate(tokens):
+                if token in self.trusted:
+                    continue
+                found = self.seen.get(token)
+                if found is None:
+                    bare = core(token)
+                    found = (bare, frozenset()) if bare in self.trusted else self._of(token)
+                    if len(self.seen) >= Editor.REMEMBERED:
+                        self.seen.clear()
+                    self.seen[token] = found
+                c, wanted = found
+                for w in wanted:
+                    out.add((c, w))
+                if len(c) > 1 and c not in known and c.isalpha():
+                    for a, b in ((j, j + 1), (j - 1, j)):
+                        if 0 <= a and b < len(tokens):
+                            x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
+                            if x.isalpha() and y.isalpha() and (x + y in known or counts.maybe(x + y)):
+                                out.update(("", w) for w in (x, y, x + y) if w not in known and counts.maybe(w))
+            end = line.rstrip()
+            m = _cut(end)
+            after = lines[i + 1].split(None, 1) if m and i + 1 < len(lines) else None
+            if after:
+                counts.asked.clear()
+                line_end(m.group(1), m.group(2), after[0], counts)
+                out.update(("", w) for w in counts.asked)
+        return out
+
+
 class Editor:
     """Judges one page at a time; holds what all pages share."""
 
@@ -414,9 +512,8 @@ class Editor:
         w = self.weights.get(kind)
         return sum([w.get(f, 0.0) for f in feats]) if w else 0.0
 
-    def _ops(self, token: str) -> tuple[str, list]:
+    def _ops(self, token: str, known) -> tuple[str, list]:
         """(word of the token, its edits with the page-independent part of their score)."""
-        known = self.known
         c = standing(token, known)
         if len(c) < 2 or _CODE.match(c) or not _LETTERS.search(c):
             return c, []
@@ -427,9 +524,10 @@ class Editor:
             out.append((o, self._good(o[0], always), shape, ratio))
         return c, out
 
-    def edits(self, lines: list[str], skip: set[int], loose: set[tuple[int, int]], hint: bool) -> tuple[dict[tuple[int, int], str], set[tuple[int, int]]]:
+    def edits(self, lines: list[str], skip: set[int], loose: set[tuple[int, int]], hint: bool, known=None, touched: frozenset[str] | set[str] = frozenset()) -> tuple[dict[tuple[int, int], str], set[tuple[int, int]]]:
         """({(line, token): repaired word}, tokens to join with the next one)."""
-        known, trusted, seen = self.known, self.trusted, self.seen
+        trusted, seen = self.trusted, self.seen
+        known = self.known if known is None else known
         cases, joins = [], set()
         for i, line in enumerate(lines):
             if i in skip:
@@ -444,11 +542,13 @@ class Editor:
                     if bare in trusted:
                         found = (bare, None)
                     else:
-                        found = self._ops(token)
+                        found = self._ops(token, self.known)
                     if len(seen) >= self.REMEMBERED:
                         seen.clear()
                     seen[token] = found
                 c, ops = found
+                if c in touched:
+                    c, ops = self._ops(token, known)
                 if ops:
                     cases.append((i, j, c, ops))
                 elif ops is not None and len(c) > 1 and c.isalpha() and c not in known:
@@ -474,8 +574,11 @@ class Editor:
                 out[(i, j)] = best[3]
         return out, joins
 
-    def page(self, text: str, page_num: int, furniture: set[int], offsets: set[int], hint: bool, want_text: bool) -> tuple[list[str], str | None]:
-        """(kinds of defect, repaired text) of a page; a page without words has no defect and keeps its text."""
+    def page(self, text: str, page_num: int, furniture: set[int], offsets: set[int], hint: bool, want_text: bool, more: list[tuple[str, str, int]] | None = None) -> tuple[list[str], str | None]:
+        """(kinds of defect, repaired text) of a page; a page without words has no defect and keeps its text. ``more`` has the
+        counts of rarer words (word of the page, word, count)."""
+        known = Layered(self.known, {w: n for _, w, n in more}) if more else self.known
+        touched = {c for c, _, _ in more} if more else frozenset()
         lines = text.split("\n")
         out = furniture_lines(lines, page_num, furniture, offsets)
         defects = set().union(*out.values()) if out else set()
@@ -486,21 +589,21 @@ class Editor:
             if i in skip or i + 1 in skip:
                 continue
             end = lines[i].rstrip()
-            m = _CUT.search(end.rsplit(None, 1)[-1]) if end and (end[-1] in HYPHENS or end[-2:-1] in HYPHENS and end[-2:-1]) else None
+            m = _cut(end)
             if m:
                 after = lines[i + 1].split(None, 1)
                 before = lines[i].split()
-                if after and self._good("join", line_end(m.group(1), m.group(2), after[0], self.known)) > 0:
+                if after and self._good("join", line_end(m.group(1), m.group(2), after[0], known)) > 0:
                     cuts.add(i)
                 loose |= {(i, len(before) - 1), (i + 1, 0)}
         if cuts:
             defects.add("hyphen")
-        words, joins = self.edits(lines, skip, loose, hint)
+        words, joins = self.edits(lines, skip, loose, hint, known, touched)
         if words or joins:
             defects.add("char")
-        return sorted(defects), self._paragraphs(lines, skip, cuts, words, joins) if want_text else None
+        return sorted(defects), self._paragraphs(lines, skip, cuts, words, joins, known) if want_text else None
 
-    def _paragraphs(self, lines, skip, cuts, words, joins) -> str:
+    def _paragraphs(self, lines, skip, cuts, words, joins, known) -> str:
         """Lines of running text put together into paragraphs; blank lines, lists, tables and headings stay apart."""
         made, open_line = [], ""
         width = max((len(x) for i, x in enumerate(lines) if i not in skip), default=0)
@@ -511,7 +614,7 @@ class Editor:
             fixed, glue = [], False
             for j, token in enumerate(tokens):
                 new = words.get((i, j))
-                token = token.replace(standing(token, self.known), new, 1) if new is not None else token
+                token = token.replace(standing(token, known), new, 1) if new is not None else token
                 if glue:
                     fixed[-1] += token
                 else:
@@ -604,12 +707,7 @@ def _inside(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     Which lines are looked up is shared with the tasks as a bitmap of fixed size: where keys share a bit more lines are
     counted than are asked for, never fewer.
     """
-    bit = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))
-    words = wanted.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS INT))")).alias("bits")).collect()
-    made = np.zeros(1 << BITS - 6, dtype="<i8")
-    for w in words:
-        made[w["at"]] = w["bits"]
-    shared = pages.sparkSession.sparkContext.broadcast(made.tobytes())
+    shared = pages.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bitmap, mask = shared.value, (1 << BITS) - 1
@@ -671,12 +769,39 @@ def _furniture(survey: DataFrame, pages_of: DataFrame, pages: DataFrame) -> Data
     return lines.join(offsets, ["f", "r"], "full")
 
 
+def _bitmap(hashed: DataFrame) -> bytes:
+    """A bitmap of fixed size of the low bits of the longs ``h``."""
+    bit = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))
+    made = np.zeros(1 << BITS - 6, dtype="<i8")
+    for w in hashed.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 AS INT))")).alias("bits")).collect():
+        made[w["at"]] = w["bits"]
+    return made.tobytes()
+
+
+def _rarer(pages: DataFrame, counts: DataFrame, shared) -> DataFrame:
+    """(r, more): the counts of rarer words that each page needs. ``counts`` has word and n of words that not all tasks
+    hold; ``shared`` is the broadcast that the editor is made of."""
+    bitmap = pages.sparkSession.sparkContext.broadcast(_bitmap(counts.select(F.xxhash64("word").alias("h"))))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, _, _, trusted = shared.value
+        asker = Asker(known, bitmap.value, trusted)
+        for b in batches:
+            rows = [(r, c, w) for r, t in zip(b["r"], b["t"]) for c, w in asker.page(t)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["r", "c", "word"])
+
+    asked = pages.select("r", "t").mapInPandas(run, "r long, c string, word string")
+    return asked.join(counts, "word").groupBy("r").agg(F.collect_list(F.struct("c", "word", "n")).alias("more"))
+
+
 def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, needs_ocr: str, want_text: bool = True) -> DataFrame:
     """(key, defects, repaired): the kinds of scan noise on each page and, if wanted, its text without them.
 
     Null and blank texts have no defects and stay as they are; every copy of a page is judged. A null page number counts
     as -1, a null file as a file of its own kind. ``needs_ocr`` is a hint among the features, no more. Shared with all
-    tasks are the words on at least TRUSTED_SHARE of the pages (a bounded number) and the editor's weights.
+    tasks are the words on at least TRUSTED_SHARE of the pages (a bounded number) and the editor's weights; the counts of
+    rarer words reach the pages that need them by a join, so a word is known from TRUSTED_LEAST occurrences at any size.
     """
     kind = pages.schema[key].dataType.simpleString()
     rows = pages.select(F.col(key).alias("k"), F.coalesce(F.col(file), F.lit(-1)).cast("long").alias("f"), F.coalesce(F.col(page_num), F.lit(-1)).cast("int").alias("n"), F.col(text).alias("t"), F.coalesce(F.col(needs_ocr), F.lit(False)).alias("hint"), F.xxhash64(F.col(key)).alias("r"))
@@ -684,19 +809,25 @@ def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, ne
     survey = materialize(_survey(full), "survey")
     pages_of = materialize(full.groupBy("f").agg(F.count_distinct("n").alias("pages"), F.count("*").alias("copies")), "pages-of")
     total = pages_of.agg(F.sum("copies")).first()[0] or 0
-    least = max(TRUSTED_LEAST, int(TRUSTED_SHARE * total))
-    counts = survey.filter("kind = 'w'").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    known = {r.word: r.n for r in counts.collect()}
+    sent = max(TRUSTED_LEAST, int(TRUSTED_SHARE * total))
+    counts = survey.filter("kind = 'w'").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= TRUSTED_LEAST)
+    counts = materialize(counts, "counts") if sent > TRUSTED_LEAST else counts
+    known = {r.word: r.n for r in counts.filter(F.col("n") >= sent).collect()}
     clean = full.filter(~F.col("hint")).orderBy(F.xxhash64("k"), "k").limit(TRAINING_PAGES).select("t")
-    weights = train([r.t for r in clean.collect()], known, least)
-    shared = pages.sparkSession.sparkContext.broadcast((known, least, weights, trusted_words(known)))
+    weights = train([r.t for r in clean.collect()], known, TRUSTED_LEAST)
+    shared = pages.sparkSession.sparkContext.broadcast((known, TRUSTED_LEAST, weights, trusted_words(known)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         editor = Editor(*shared.value)
         for b in batches:
-            done = [editor.page(t, n, set(u) if u is not None else set(), set(o) if o is not None else set(), h, want_text) for t, n, u, o, h in zip(b["t"], b["n"], b["furniture"], b["offsets"], b["hint"])]
+            done = [editor.page(t, n, set(u) if u is not None else set(), set(o) if o is not None else set(), h, want_text, [(x["c"], x["word"], x["n"]) for x in m] if m is not None else None) for t, n, u, o, h, m in zip(b["t"], b["n"], b["furniture"], b["offsets"], b["hint"], b["more"])]
             yield pd.DataFrame({key: b["k"], "defects": [d for d, _ in done], "repaired": pd.Series([x for _, x in done], dtype="object")})
 
     joined = full.join(_furniture(survey, pages_of, full), ["f", "r"], "left")
+    # With few pages all known words are sent, and nothing is left to ask for.
+    if sent > TRUSTED_LEAST:
+        joined = joined.join(materialize(_rarer(full, counts.filter(F.col("n") < sent), shared), "rarer"), "r", "left")
+    else:
+        joined = joined.withColumn("more", F.lit(None).cast("array<struct<c: string, word: string, n: bigint>>"))
     blank = rows.filter(F.col("t").isNull() | (F.length(F.trim("t")) == 0)).select(F.col("k").alias(key), F.array().cast("array<string>").alias("defects"), F.col("t").alias("repaired"))
-    return joined.select("k", "n", "t", "hint", "furniture", "offsets").mapInPandas(run, f"`{key}` {kind}, defects array<string>, repaired string").unionByName(blank)
+    return joined.select("k", "n", "t", "hint", "furniture", "offsets", "more").mapInPandas(run, f"`{key}` {kind}, defects array<string>, repaired string").unionByName(blank)

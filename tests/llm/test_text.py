@@ -253,3 +253,29 @@ def test_form_classes_count_links(spark):
     df = spark.createDataFrame([(1, "plain words here"), (2, "plain words here"), (3, "pl\u200bain words here"), (4, "others"), (5, None), (6, "")], "doc_id long, text string")
     got = {r.doc_id: r.links for r in L.form_classes(df, "doc_id", "text").collect()}
     assert got == {1: 1, 2: 1, 3: 2, 4: 0, 6: 0}
+
+
+def test_words_that_are_not_sent_to_all_tasks_count_alike(spark, monkeypatch):
+    rng = random.Random(12)
+    rare = ["".join(rng.choice(["ba", "ke", "lim", "tor", "ves", "nu"]) for _ in range(4)) for _ in range(60)]
+    pages = []
+    for i in range(240):
+        words = [rng.choice(rare) if rng.random() < 0.1 else rng.choice(WORDS) for _ in range(90)]
+        if i % 3 == 0:
+            words = [r for _, r in S.damage(words, rng)]
+        if i % 4 == 0:
+            words = [w if len(w) < 6 or rng.random() < 0.8 else f"{w[:3]}-\n{w[3:]}" if rng.random() < 0.5 else f"{w[:4]} {w[4:]}" for w in words]
+        pages.append((i, i // 8, i % 8, "\n".join(" ".join(words[k : k + 9]) for k in range(0, 90, 9)), i % 3 == 0))
+    df = spark.createDataFrame(pages, "page_id long, file_id long, page_num int, text string, needs_ocr boolean")
+    known = {}
+    for *_, t, _ in pages:
+        for w in map(S.core, t.split()):
+            known[w] = known.get(w, 0) + 1
+    known = {w: n for w, n in known.items() if n >= S.TRUSTED_LEAST and len(w) > 1}
+    weights = S.train([t for *_, t, hint in pages if not hint], known, S.TRUSTED_LEAST)
+    monkeypatch.setattr(S, "train", lambda *a: weights)
+    run = lambda: {r.page_id: (r.defects, r.repaired) for r in S.repaired(df, "page_id", "file_id", "page_num", "text", "needs_ocr").collect()}
+    whole = run()
+    monkeypatch.setattr(S, "TRUSTED_SHARE", 0.5)
+    assert sum(n < 120 for n in known.values()) > 20 and sum(n >= 120 for n in known.values()) > 5
+    assert run() == whole and any("char" in d for d, _ in whole.values()) and any("hyphen" in d for d, _ in whole.values())
