@@ -40,11 +40,13 @@ def tumbling(df: DataFrame, at: str, width: str, *keys: str, delay: str | None =
     return rows.groupBy(F.window(at, width), *keys).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), *keys, "n")
 
 
-def history(stream: DataFrame, key: str, field: str, at: str, value: str) -> DataFrame:
+def history(stream: DataFrame, key: str, field: str, at: str, value: str, delay: str = "365 days") -> DataFrame:
     """(key, field, at, old, new) change rows of a stream, with state per key and field.
 
     A late row is put in its place among the observations that are kept, so the log it gives is that of the rows in order
-    of time; a change that it undoes is not taken back, since a stream only appends.
+    of time; a change that it undoes is not taken back, since a stream only appends. Kept are the observations within
+    ``delay`` of the latest time and the last one before them, so the state of a key stays as large as its recent past; a
+    row that is later than all that is kept of its past gives no change.
     """
     schema = f"{key} string, {field} string, {at} timestamp, old string, new string"
 
@@ -60,7 +62,10 @@ def history(stream: DataFrame, key: str, field: str, at: str, value: str) -> Dat
                 if before and before[-1][1] != v:
                     out.append((k[0], k[1], t, before[-1][1], v))
                 seen = sorted({*seen, (stamp, v)})
+        mark = state.getCurrentWatermarkMs() * 1_000_000
+        old = [x for x in seen if x[0] < mark]
+        seen = old[-1:] + seen[len(old) :]
         state.update(([s for s, _ in seen], [v for _, v in seen]))
         yield pd.DataFrame(out, columns=[key, field, at, "old", "new"])
 
-    return stream.groupBy(key, field).applyInPandasWithState(run, schema, "stamps array<long>, vals array<string>", "append", GroupStateTimeout.NoTimeout)
+    return stream.withWatermark(at, delay).groupBy(key, field).applyInPandasWithState(run, schema, "stamps array<long>, vals array<string>", "append", GroupStateTimeout.NoTimeout)

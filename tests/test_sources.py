@@ -85,6 +85,30 @@ def test_history_stream(spark, tmp_path):
     assert [(r.old, r.new) for r in spark.sql("select * from log").collect()] == [("1", "2")]
 
 
+def test_history_forgets_what_is_older_than_the_delay(spark, tmp_path):
+    def put(name, rows):
+        df = spark.createDataFrame(rows, "k string, f string, at string, v string").withColumn("at", F.col("at").cast("timestamp"))
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+        return df.schema
+
+    schema = put("a", [("p", "phone", f"2020-01-{i:02} 00:00:00", str(i)) for i in range(1, 20)] + [("q", "phone", "2024-01-01 00:00:00", "9")])
+    made = I.history(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "k", "f", "at", "v", delay="10 days")
+
+    def run():
+        q = made.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).outputMode("append").start()
+        q.processAllAvailable()
+        q.stop()
+
+    run()
+    # The last value before the mark is still known; those before it aren't.
+    put("b", [("p", "phone", "2024-01-02 00:00:00", "20")])
+    run()
+    put("c", [("p", "phone", "2020-01-05 12:00:00", "x"), ("p", "phone", "2024-01-03 00:00:00", "21")])
+    run()
+    got = sorted((r.old, r.new) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert ("19", "20") in got and ("20", "21") in got and not any("x" in pair for pair in got) and len(got) == 20
+
+
 def test_regroup_replaces_whole_groups(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, g string")
     rows.write.parquet(str(tmp_path / "in"))
