@@ -134,3 +134,43 @@ def listed_figures(df: DataFrame, key: str, answer: str) -> DataFrame:
     pairs = F.arrays_zip(F.regexp_extract_all(answer, pattern, 1).alias("n"), F.regexp_extract_all(answer, pattern, 2).alias("d"))
     counted = df.filter(F.col(answer).rlike(r"FIGURE_COUNT:\s*\d+"))
     return counted.select(key, F.explode(pairs).alias("x")).select(key, F.col("x.n").alias("number"), strip(F.col("x.d")).alias("description"))
+
+
+# What an output can lack.
+SHORT_TEXT = "Very short text extraction (< 500 chars)"
+FRAGMENTED = "High text fragmentation detected"
+NO_RESULTS = "Results section missing or very short"
+NO_METHODS = "Methods and context sections (objective/background) missing"
+NO_FIGURES = "No figures analyzed"
+FEW_FIGURES = "Very few figures identified (expected more for typical poster)"
+POOR_FIGURES = " figures have inadequate descriptions"
+
+
+def output_issues(text: Column, descriptions: Column, results: Column, methods: Column, context: Column) -> Column:
+    """What an output lacks, as an array of notes; ``descriptions`` has one string per figure, ``context`` is what may stand in
+    for the methods. Nulls count as missing."""
+    text, figures = F.coalesce(text, F.lit("")), F.coalesce(descriptions, F.array().cast("array<string>"))
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    short = lambda c, n: F.coalesce(F.length(c), F.lit(0)) < n
+    poor = F.size(F.filter(figures, lambda d: short(d, 20)))
+    notes = F.array(
+        F.when(F.length(text) < 500, SHORT_TEXT),
+        F.when(F.size(F.filter(words, lambda w: F.length(w) <= 2)) > 0.4 * F.size(words), FRAGMENTED),
+        F.when(short(results, 50), NO_RESULTS),
+        F.when(short(methods, 50) & short(context, 1), NO_METHODS),
+        F.when(F.size(figures) == 0, NO_FIGURES).when(F.size(figures) < 2, FEW_FIGURES),
+        F.when(poor > 0, F.concat(poor.cast("string"), F.lit(POOR_FIGURES))),
+    )
+    return F.filter(notes, lambda n: n.isNotNull())
+
+
+def first_cluster(df: DataFrame, group: str, place: str, within: float) -> DataFrame:
+    """(group, place): the first place of each group whose next one is no further than ``within``; groups without one are left out."""
+    after = F.lead(place).over(Window.partitionBy(group).orderBy(place))
+    return df.withColumn("__after", after).filter(F.col("__after") - F.col(place) <= within).groupBy(group).agg(F.min(place).alias(place))
+
+
+def text_cascade(native: Column, other: Column, readable: Column) -> Column:
+    """The native text, unless it isn't readable and the other is longer."""
+    longer = F.coalesce(F.length(other), F.lit(0)) > F.coalesce(F.length(native), F.lit(0))
+    return F.when(~F.coalesce(readable, F.lit(False)) & longer, other).otherwise(native)

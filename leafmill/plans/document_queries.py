@@ -130,3 +130,32 @@ def t_listed_figures(spark, d):
 @query("SELECT file_id, file_name FROM pdf_class ORDER BY lower(file_name), file_name, file_id")
 def o_names_in_order(spark, d):
     return table(spark, d, "pdf_class").select("file_id", "file_name").orderBy(F.lower("file_name"), "file_name", "file_id")
+
+
+_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda w: w <> '')"
+
+
+@query(
+    f"SELECT result_id, array_to_string(list_filter([CASE WHEN length(coalesce(text, '')) < 500 THEN 'Very short text extraction (< 500 chars)' END, CASE WHEN len(list_filter({_WORDS}, lambda w: length(w) <= 2)) > 0.4 * len({_WORDS}) THEN 'High text fragmentation detected' END, "
+    "CASE WHEN coalesce(length(r), 0) < 50 THEN 'Results section missing or very short' END, CASE WHEN coalesce(length(m), 0) < 50 AND coalesce(length(c), 0) < 1 THEN 'Methods and context sections (objective/background) missing' END, "
+    "CASE WHEN len(f) = 0 THEN 'No figures analyzed' WHEN len(f) < 2 THEN 'Very few figures identified (expected more for typical poster)' END, CASE WHEN len(list_filter(f, lambda d: length(d) < 20)) > 0 THEN len(list_filter(f, lambda d: length(d) < 20)) || ' figures have inadequate descriptions' END], lambda x: x IS NOT NULL), '; ') AS issues "
+    "FROM (SELECT result_id, text, sections['Results'] AS r, sections['Methods'] AS m, sections['Introduction'] AS c, regexp_extract_all(coalesce(text, ''), '(?:Figure|Fig\\.?)\\s*\\d+[.:]\\s*([^\\n]+)', 1) AS f FROM extraction_result)"
+)
+def f_output_issues(spark, d):
+    section = lambda n: F.element_at("sections", n)
+    figures = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?:Figure|Fig\.?)\s*\d+[.:]\s*([^\n]+)"), 1)
+    notes = D.output_issues(F.col("text"), figures, section("Results"), section("Methods"), section("Introduction"))
+    return table(spark, d, "extraction_result").select("result_id", F.array_join(notes, "; ").alias("issues"))
+
+
+@query("SELECT l_orderkey, min(l_partkey) AS l_partkey FROM (SELECT l_orderkey, l_partkey, lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_partkey) AS after FROM lineitem) WHERE after - l_partkey <= 30 GROUP BY 1")
+def w_first_cluster(spark, d):
+    return D.first_cluster(table(spark, d, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey", "l_partkey", 30)
+
+
+@query("SELECT page_id, md5(CASE WHEN NOT coalesce(length(text) >= 400, false) AND length(other) > length(coalesce(text, '')) THEN other ELSE text END) AS best FROM (SELECT p.page_id, p.text, m.other FROM page_text p LEFT JOIN (SELECT file_id, page_num, max(text) AS other FROM page_text GROUP BY 1, 2) m ON p.file_id = m.file_id AND p.page_num = m.page_num)")
+def x_text_cascade(spark, d):
+    pages = table(spark, d, "page_text")
+    other = pages.groupBy("file_id", "page_num").agg(F.max("text").alias("other"))
+    best = D.text_cascade(F.col("text"), F.col("other"), F.length("text") >= 400)
+    return pages.join(other, ["file_id", "page_num"], "left").select("page_id", F.md5(best.cast("binary")).alias("best"))

@@ -183,3 +183,30 @@ def test_figure_pages_and_mirrored_lines(spark):
     assert sorted(r.n for r in Y.figure_pages(pages, "d", "n", "t", F.col("k"), F.col("tab"), 2).collect()) == [0, 2]
     lines = spark.createDataFrame([(["esnopser", "x1"],), (["response", "x1"],)], "l array<string>")
     assert [r.m for r in lines.select(Y.reversed_words(F.col("l"), ["response"]).alias("m")).collect()] == [True, False]
+
+
+def test_documents_with_nulls_and_ties(spark):
+    from leafmill.operators import documents as D
+
+    pages = spark.createDataFrame([(1, "x" * 10), (1, None), (None, "")], "file_id long, text string").withColumn("other", F.lit(1))
+    assert D.image_only(pages.limit(0), "file_id", F.length("text") > 5).count() == 0
+    assert {r.file_id: r.image_only for r in D.image_only(pages, "file_id", F.length("text") > 50, 1).collect()} == {1: True, None: False}
+    row = spark.createDataFrame([(None, "", "1. A thing\n2. The rest\n3. An end\n")], "a string, b string, c string").select(
+        D.has_claims(F.col("a")).alias("a"), D.has_claims(F.col("c")).alias("c"), D.clean_signature(F.col("a")).alias("s"), D.marked(F.col("b"), "---X---").alias("m"), D.output_issues(F.col("a"), F.lit(None).cast("array<string>"), F.col("a"), F.col("a"), F.col("b")).alias("i"),
+        D.deck_name(F.lit("Review 07Mar2021 final")).alias("d"), D.names_only(F.lit("Dr. Ann LEE"), F.lit("Lee, Ann B.")).alias("n"), D.text_cascade(F.col("a"), F.col("c"), F.lit(None).cast("boolean")).alias("t")).first()
+    assert (row.a, row.c, row.s, row.m, row.n) == (False, True, None, None, True) and row.t.startswith("1. A")
+    assert list(row.i) == [D.SHORT_TEXT, D.NO_RESULTS, D.NO_METHODS, D.NO_FIGURES] and (row.d.date, row.d.title) == ("2021-03-07", "Review")
+    ties = spark.createDataFrame([(1, 5.0), (1, 5.0), (2, 1.0), (2, 99.0), (3, None)], "g long, y double")
+    assert [tuple(r) for r in D.first_cluster(ties, "g", "y", 30).collect()] == [(1, 5.0)]
+
+
+def test_containment_inside_words_and_keyword_join(spark):
+    from leafmill.operators import matching as M
+
+    a = spark.createDataFrame([(1, "gene therap for all"), (2, None), (3, "short"), (4, "日本語の題名についての研究です")], "i long, t string")
+    b = spark.createDataFrame([(7, "On gene therap for all patients"), (8, ""), (9, "新しい日本語の題名についての研究です。")], "j long, u string")
+    assert sorted(tuple(r) for r in M.unique_containment(a, b, "i", "t", "j", "u").collect()) == [(1, 7), (4, 9)]
+    left = spark.createDataFrame([(1, "common alpha alpha"), (2, "common common"), (3, None), (4, "nothing")], "i long, t string")
+    right = spark.createDataFrame([(5, "common alpha"), (6, "alpha common"), (7, "common beta")], "j long, u string")
+    assert sorted(tuple(r) for r in M.best_by_words(left, right, "i", "t", "j", "u").collect()) == [(1, 5, 3), (2, 5, 2)]
+    assert M.best_by_words(left, right.limit(0), "i", "t", "j", "u").count() == 0
