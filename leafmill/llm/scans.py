@@ -464,35 +464,37 @@ class Asker:
 
     def page(self, text: str) -> set[tuple[str, str]]:
         counts, known, out = self.counts, self.known, set()
+        tokens = text.split()
+        alone = set()
+        for token in set(tokens) - self.trusted:
+            found = self.seen.get(token)
+            if found is None:
+                bare = core(token)
+                found = (bare, frozenset()) if bare in self.trusted else self._of(token)
+                if len(self.seen) >= Editor.REMEMBERED:
+                    self.seen.clear()
+                self.seen[token] = found
+            c, wanted = found
+            for w in wanted:
+                out.add((c, w))
+            if len(c) > 1 and c not in known and c.isalpha():
+                alone.add(token)
+        for j in [j for j, token in enumerate(tokens) if token in alone] if alone else ():
+            for a, b in ((j, j + 1), (j - 1, j)):
+                if 0 <= a and b < len(tokens):
+                    x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
+                    if x.isalpha() and y.isalpha() and (x + y in known or counts.maybe(x + y)):
+                        out.update(("", w) for w in (x, y, x + y) if w not in known and counts.maybe(w))
         lines = text.split("\n")
-        for i, line in enumerate(lines):
-            tokens = line.split()
-            for j, token in enumerate(tokens):
-                if token in self.trusted:
-                    continue
-                found = self.seen.get(token)
-                if found is None:
-                    bare = core(token)
-                    found = (bare, frozenset()) if bare in self.trusted else self._of(token)
-                    if len(self.seen) >= Editor.REMEMBERED:
-                        self.seen.clear()
-                    self.seen[token] = found
-                c, wanted = found
-                for w in wanted:
-                    out.add((c, w))
-                if len(c) > 1 and c not in known and c.isalpha():
-                    for a, b in ((j, j + 1), (j - 1, j)):
-                        if 0 <= a and b < len(tokens):
-                            x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
-                            if x.isalpha() and y.isalpha() and (x + y in known or counts.maybe(x + y)):
-                                out.update(("", w) for w in (x, y, x + y) if w not in known and counts.maybe(w))
+        for i, line in enumerate(lines[:-1]):
             end = line.rstrip()
-            m = _cut(end)
-            after = lines[i + 1].split(None, 1) if m and i + 1 < len(lines) else None
-            if after:
-                counts.asked.clear()
-                line_end(m.group(1), m.group(2), after[0], counts)
-                out.update(("", w) for w in counts.asked)
+            if end[-1:] in HYPHENS or end[-2:-1] in HYPHENS:
+                m = _cut(end)
+                after = lines[i + 1].split(None, 1) if m else None
+                if after:
+                    counts.asked.clear()
+                    line_end(m.group(1), m.group(2), after[0], counts)
+                    out.update(("", w) for w in counts.asked)
         return out
 
 
@@ -533,6 +535,8 @@ class Editor:
             if i in skip:
                 continue
             tokens = line.split()
+            if trusted.issuperset(tokens):
+                continue
             for j, token in enumerate(tokens):
                 if token in trusted or (i, j) in loose:
                     continue
