@@ -215,6 +215,21 @@ def test_retrieval_equals_brute_force(spark):
         assert np.allclose([s for s, _ in sorted(got.get(p[0], []), key=lambda x: x[1])], want, atol=0.02), p
 
 
+def test_a_list_of_very_many_records_brings_them_up(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda i: f"Ann Ed{letters[i // 676]}{letters[i // 26 % 26]}{letters[i % 26]}"
+    works = library(30)
+    works += [(3000 + i, "An editorial for spring", [name(i)] if i % 2 else None, None, None, None, None, f"10.1000/e.{i}") for i in range(1100)]
+    # The author is one of them, all else is another work's: the author alone is too little of the list to bring up the editorial.
+    w = works[3]
+    papers = [(1, "An editorial for spring", [name(7)], *w[3:7], None), (2, "An editorial for spring", None, None, None, None, None, None), (3, "An editorial for spring", None, None, None, None, None, None)]
+    r = spark.createDataFrame(works, RECORD).withColumn("thing", F.col("id"))
+    got = {}
+    for x in M.retrieve(spark.createDataFrame(papers, RECORD), r).collect():
+        got.setdefault(x.query, {})[x.place] = x.record
+    assert got[1][0] == 3007 and got[2] == got[3] == {0: 3000, 1: 3002}
+
+
 def test_logistic_fit_starts_from_its_prior():
     prior = np.array([2.0, -1.0])
     assert np.allclose(M.fit_logistic(np.zeros((0, 1)), np.zeros(0), prior), prior, atol=1e-6)
