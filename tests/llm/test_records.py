@@ -84,6 +84,25 @@ def test_short_forms_are_learned(spark):
     assert N.person_score("Bill Nimuvastam", "William Nimuvastam", nick) >= N.LINK > N.person_score("Bill Nimuvastam", "William Nimuvastam")
 
 
+def test_short_forms_are_learned_from_common_surnames(spark, monkeypatch):
+    # Every surname has 16 given names, and no number of learned pairs is set.
+    monkeypatch.setattr(N, "LEARNED", 1, raising=False)
+    rng = random.Random(12)
+    word = lambda i, tail: "".join("bdfgklmnpr"[int(c)] + "aeiou"[int(c) % 5] for c in str(i)) + tail
+    given, rows = [word(100 + i, "zzi") for i in range(400)], []
+    for i in range(500):
+        two = rng.sample(["Xan", "Qoro"], 1)
+        for g in [*rng.sample(given, 14), *{"Xan": ["Xander", "Sascha"], "Qoro": ["Robert", "Bob"]}[two[0]]] if i < 60 else rng.sample(given, 16):
+            rows.append(("author", f"{g.title()} {word(1000 + i, 'vik').title()}"))
+    df = spark.createDataFrame(rows, "kind string, name string")
+    assert N.nicknames(df) == {"xander": {"sascha"}, "sascha": {"xander"}, "robert": {"bob"}, "bob": {"robert"}}
+    # Pairs meet and are scored by the entries of their own words.
+    few = spark.createDataFrame([("author", "Bob Nimuvastam"), ("author", "Robert Nimuvastam"), ("author", "Xander Nimuvastam")], "kind string, name string")
+    scores = {(r.a, r.b): r.score for r in N.similar_pairs(few, nick=N.learned(df)).collect()}
+    nick = N.nicknames(df)
+    assert scores == {(a, b): N.person_score(a, b, nick) for a, b in [("Bob Nimuvastam", "Robert Nimuvastam")]} and min(scores.values()) >= N.LINK
+
+
 def test_short_surnames_with_a_changed_letter_meet(spark):
     names = ["Anna Smith", "Anna Smyth", "Smith, A.", "Anna Jones", "Bert Smyth"]
     pairs = {(r.a, r.b) for r in N.similar_pairs(spark.createDataFrame([("author", n) for n in names], "kind string, name string")).collect()}
