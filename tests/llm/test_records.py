@@ -53,6 +53,13 @@ def test_similarity_join_equals_brute_force(spark):
     assert got == want | short
 
 
+def test_a_pair_is_judged_at_its_first_common_element(spark):
+    e = lambda h, w: (h << 16) | w
+    rows = [([e(1, 30), e(2, 50)], e(1, 30), 80.0), ([e(1, 30), e(2, 50)], e(2, 50), 10.0), ([e(1, 30)], e(1, 30), 30.5), ([], e(1, 30), 0.0)]
+    df = spark.createDataFrame(rows, "common array<long>, el long, least double")
+    assert [r.x for r in df.select(N._reaches(F.col("common"), F.col("el"), F.col("least")).alias("x")).collect()] == [True, False, False, True]
+
+
 def test_average_linkage_equals_the_one_by_one_algorithm(spark):
     rng = random.Random(3)
     names = [f"n{i:02}" for i in range(24)]
