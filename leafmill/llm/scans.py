@@ -16,6 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ CONFUSIONS = [
         "cl d;S 5;s 5;B 8;w vv;h li;b 6;Z 2;E F;e o;ri n;rn m"
     ).split(";")
 ]
+#: The edit that undoes each: printed, read, its kind and name.
+_UNDO = [(p, r, "replace" if len(p) == len(r) else "insert" if len(p) > len(r) else "delete", f"{r}>{p}") for p, r in CONFUSIONS]
 STRAY = "|~'.`^*_"
 HYPHENS = "-‐‑¬­—–~"
 #: A word is known from so many occurrences on.
@@ -54,6 +58,7 @@ _EDGE = "".join(c for c in map(chr, range(33, 48)) if c != "$") + ":;<=>?@[\\]^_
 _OPEN = "“”„‘’«»‚\"(["
 _CODE = re.compile(r"^(?:[A-Z]{1,6}[-–]?\d+[A-Z]{0,3}|[A-Z0-9]{2,}(?:[-–/][A-Z0-9]+)*|\d[\d.,:/%-]*|[a-z]\d+|.*\d{3,}.*)$")
 _LETTERS = re.compile(r"[^\W\d_]")
+_FOUR_LETTERS = re.compile(r"(?:[\W\d_]*+[^\W\d_]){4}")
 _NUMBER = re.compile(r"\d+")
 
 
@@ -90,14 +95,17 @@ class Perceptron:
 def operations(word: str, known: dict[str, int], least: int = 0) -> list[tuple[str, str, int, str]]:
     """(kind, what, place, result) of the single edits of a word that give a known word: replace, insert, delete."""
     out = []
-    for printed, read in CONFUSIONS:
+    for printed, read, kind, what in _UNDO:
+        if read not in word:
+            continue
         at = word.find(read)
         while at >= 0:
             made = word[:at] + printed + word[at + len(read) :]
             if known.get(made, 0) > least:
-                kind = "replace" if len(printed) == len(read) else "insert" if len(printed) > len(read) else "delete"
-                out.append((kind, f"{read}>{printed}", at, made))
+                out.append((kind, what, at, made))
             at = word.find(read, at + 1)
+    if word.isalnum():
+        return out
     for at in range(1, len(word) - 1):
         if word[at] in STRAY:
             made = word[:at] + word[at + 1 :]
@@ -202,12 +210,11 @@ def train(pages: list[str], known: dict[str, int], trusted_least: int) -> dict[s
     return model.averaged()
 
 
-def line_end(left: str, mark: str, right: str, known: dict[str, int]) -> list[str]:
-    """Features of joining the word before a hyphen at a line end with the first word of the next line; [] where nothing
-    can be joined."""
+def end_state(left: str, mark: str, right: str, known: dict[str, int]) -> tuple | None:
+    """What the features of a line end are made of; None where nothing can be joined."""
     a, b = left.lstrip(_OPEN + _EDGE), core(right)
-    if len(a) < 2 or any(c.isdigit() for c in a) or a.isupper() or not a[-1].isalpha() or not b:
-        return []
+    if len(a) < 2 or not a.isalpha() and any(c.isdigit() for c in a) or a.isupper() or not a[-1].isalpha() or not b:
+        return None
     joined, compound = a + b, f"{a}-{b}"
     whole = known.get(joined, 0) or known.get(joined[:1].lower() + joined[1:], 0)
     kept = known.get(compound, 0)
@@ -219,7 +226,18 @@ def line_end(left: str, mark: str, right: str, known: dict[str, int]) -> list[st
     after = int(right[:1] in "-‐")
     words = int(a.isalpha() and b.isalpha())
     sign = "soft" if mark in "\xad¬" else "dash" if mark in "—–~" else "plain"
-    return ["e", f"e:{more}", f"e:{more} {first}", f"e:{more} {state} {near}", f"e:{more} {sign} {words}", f"e:{more} {first} {sign} {near}", f"e:after {after} {int(compound[:-1] in known)}", f"e:{more} {after}", f"e:{first} {state} {sign}", f"e:len {min(len(a), 6)} {more}"]
+    return more, first, state, near, sign, words, after, int(compound[:-1] in known), min(len(a), 6)
+
+
+def end_features(more: str, first: str, state: str, near: str, sign: str, words: int, after: int, cut: int, size: int) -> list[str]:
+    return ["e", f"e:{more}", f"e:{more} {first}", f"e:{more} {state} {near}", f"e:{more} {sign} {words}", f"e:{more} {first} {sign} {near}", f"e:after {after} {cut}", f"e:{more} {after}", f"e:{first} {state} {sign}", f"e:len {size} {more}"]
+
+
+def line_end(left: str, mark: str, right: str, known: dict[str, int]) -> list[str]:
+    """Features of joining the word before a hyphen at a line end with the first word of the next line; [] where nothing
+    can be joined."""
+    state = end_state(left, mark, right, known)
+    return end_features(*state) if state else []
 
 
 def blank(x: str, y: str, known: dict[str, int]) -> list[str]:
@@ -260,7 +278,8 @@ def join_examples(pages: list[str], known: dict[str, int], rng: random.Random) -
 _FOLD_MANY = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("vv", "w"), ("li", "h")]
 _FOLD_ONE, _FOLD_AWAY = bytes.maketrans(b"c(1!ltf|0aq$59b8", b"eeiiiiiiooossghh"), b"~'.`,"
 _DIGIT = re.compile(r"\d")
-_APART = re.compile(r"(?<![^\W\d_])\d+(?![^\W\d_])")
+# A digit comes first, so that the search skips to digits.
+_APART = re.compile(r"\d(?<![^\W\d_]\d)\d*(?![^\W\d_])")
 _PAGE = [
     re.compile(r"^\[\s*([\dlIOSoBi!|$]{1,5})\s*\]$"),
     re.compile(r"^([\dlIOSo!|$]{1,5})\s*/\s*[\dlIOSo!|$]{1,5}$"),
@@ -277,20 +296,29 @@ _ROMAN_VALUE = {"i": 1, "v": 5, "x": 10}
 HEAD = 20
 
 
-def folded_line(line: str) -> bytes:
-    """The shape of a line, under which all its misreadings fall together; numbers become #."""
-    s = " ".join(line.lower().split())
-    if _DIGIT.search(s):
-        s = _APART.sub("#", s)
+def folded_lines(lines: list[str]) -> list[bytes]:
+    """The shapes of lines, under which all their misreadings fall together; numbers become #. They are folded in one
+    text: no rule reaches over a line end."""
+    if not lines:
+        return []
+    s = "\n".join([" ".join(x.split()) for x in lines]).lower()
+    made = _APART.sub("#", s).encode("utf-8", "surrogatepass")
     for many, one in _FOLD_MANY:
-        if many in s:
-            s = s.replace(many, one)
-    return s.encode("utf-8", "surrogatepass").translate(_FOLD_ONE, _FOLD_AWAY)
+        made = made.replace(many.encode(), one.encode())
+    return made.translate(_FOLD_ONE, _FOLD_AWAY).split(b"\n")
+
+
+def folded_line(line: str) -> bytes:
+    return folded_lines([line])[0]
+
+
+def folded_heads(lines: list[str]) -> list[bytes]:
+    """The shapes of the lines' beginnings: lines that break at other places still share them."""
+    return [x[:HEAD] for x in folded_lines([x[: HEAD + 8] for x in lines])]
 
 
 def folded_head(line: str) -> bytes:
-    """The shape of a line's beginning: lines that break at other places still share it."""
-    return folded_line(line[: HEAD + 8])[:HEAD]
+    return folded_heads([line])[0]
 
 
 def _value(digits: str) -> int:
@@ -326,12 +354,18 @@ def page_number(line: str, page_num: int) -> tuple[int, bool]:
 
 def edges(lines: list[str]) -> list[tuple[int, int]]:
     """(line, position) of the first two and last two lines that aren't blank; positions 0, 1, -2, -1."""
-    full = [i for i, x in enumerate(lines) if x.strip()]
-    if not full:
+    first, last = [], []
+    for some, order in ((first, range(len(lines))), (last, range(len(lines) - 1, -1, -1))):
+        for i in order:
+            if lines[i].strip():
+                some.append(i)
+                if len(some) == 2:
+                    break
+    if not first:
         return []
-    if len(full) < 4:
-        return [(full[0], 0)] + ([(full[-1], -1)] if len(full) > 1 else [])
-    return [(full[0], 0), (full[1], 1), (full[-2], -2), (full[-1], -1)]
+    if len(first) < 2 or first[1] >= last[1]:
+        return [(first[0], 0)] + ([(last[0], -1)] if last[0] != first[0] else [])
+    return [(first[0], 0), (first[1], 1), (last[1], -2), (last[0], -1)]
 
 
 def split_running(line: str, page_num: int = 0) -> tuple[str, str]:
@@ -350,7 +384,7 @@ def split_running(line: str, page_num: int = 0) -> tuple[str, str]:
 
 def headlike(line: str) -> bool:
     """Whether a line can be a header or footer: it has a word, and isn't the end of a sentence."""
-    return len(_LETTERS.findall(line)) >= 4 and not (line[:1].islower() and line[-1:] in ".!?")
+    return _FOUR_LETTERS.match(line) is not None and not (line[:1].islower() and line[-1:] in ".!?")
 
 
 def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offsets: set[int]) -> dict[int, set[str]]:
@@ -367,18 +401,19 @@ def furniture_lines(lines: list[str], page_num: int, furniture: set[int], offset
             continue
         line = lines[i].strip()
         offset, sure = page_number(line, page_num)
-        digits = _DIGIT.search(line) is not None
-        # A bare number at the very edge is a page's unless it ends a column of numbers.
-        beside = lines[at[{0: 1, -1: -2}[pos]]].strip() if outer is None and {0: 1, -1: -2}[pos] in at else ""
-        alone = outer is None and digits and beside and not re.fullmatch(r"[\d.,\s%]+", beside)
-        # '14!' at the foot is the end of a sentence.
-        alone = alone and line[-1] != "!"
-        if sure or offset == 1 or offset != -99 and digits and (alone or offset in offsets):
-            out[i] = {"page_number"}
-            continue
+        if offset != -99 or sure:
+            digits = _DIGIT.search(line) is not None
+            # A bare number at the very edge is a page's unless it ends a column of numbers.
+            beside = lines[at[{0: 1, -1: -2}[pos]]].strip() if outer is None and {0: 1, -1: -2}[pos] in at else ""
+            alone = outer is None and digits and beside and not re.fullmatch(r"[\d.,\s%]+", beside)
+            # '14!' at the foot is the end of a sentence.
+            alone = alone and line[-1] != "!"
+            if sure or offset == 1 or digits and (alone or offset in offsets):
+                out[i] = {"page_number"}
+                continue
         rest, number = split_running(line, page_num)
         value = page_number(number, page_num)[0] if number else -99
-        if len(line) <= LONGEST and headlike(rest) and line_key(rest) in furniture:
+        if furniture and len(line) <= LONGEST and headlike(rest) and line_key(rest) in furniture:
             out[i] = {"header"} | ({"page_number"} if number else set())
         elif number and len(line) <= LONGEST and (outer is None or value == 1 or value in offsets) and re.search(r"[^\W\d_]{2}.*\s{3,}\S+$|^\S+\s{3,}.*[^\W\d_]{2}", line):
             out[i] = {"header", "page_number"}
@@ -394,6 +429,8 @@ def line_key(line: str) -> int:
 
 
 _CUT = re.compile(r"(\S*[^\W\d_])([-‐‑¬\xad—–~])[.,'|~]?$")
+#: Where a line of a text may end with a hyphen, to its line end.
+_HYPHEN_END = re.compile(r"[-‐‑¬\xad—–~][.,'|~]?[^\S\n]*+\n")
 
 
 def _cut(end: str) -> re.Match | None:
@@ -449,7 +486,9 @@ class Asker:
     def __init__(self, known: dict[str, int], bitmap: bytes, trusted: set[str]) -> None:
         self.known, self.trusted = known, trusted
         self.counts = Asking(known, bitmap)
-        self.seen: dict[str, tuple[str, frozenset[str]]] = {}
+        self.seen: dict[str, tuple[str, frozenset[str], bool]] = {}
+        #: Trusted words, and tokens that ask for nothing.
+        self.idle = set(trusted)
 
     def _of(self, token: str) -> tuple[str, frozenset[str]]:
         counts = self.counts
@@ -466,18 +505,23 @@ class Asker:
         counts, known, out = self.counts, self.known, set()
         tokens = text.split()
         alone = set()
-        for token in set(tokens) - self.trusted:
+        for token in set(tokens) - self.idle:
             found = self.seen.get(token)
             if found is None:
                 bare = core(token)
-                found = (bare, frozenset()) if bare in self.trusted else self._of(token)
-                if len(self.seen) >= Editor.REMEMBERED:
+                c, wanted = (bare, frozenset()) if bare in self.trusted else self._of(token)
+                found = (c, wanted, len(c) > 1 and c not in known and c.isalpha())
+                if len(self.seen) + len(self.idle) >= Editor.REMEMBERED + len(self.trusted):
                     self.seen.clear()
-                self.seen[token] = found
-            c, wanted = found
+                    self.idle = set(self.trusted)
+                if wanted or found[2]:
+                    self.seen[token] = found
+                else:
+                    self.idle.add(token)
+            c, wanted, lone = found
             for w in wanted:
                 out.add((c, w))
-            if len(c) > 1 and c not in known and c.isalpha():
+            if lone:
                 alone.add(token)
         for j in [j for j, token in enumerate(tokens) if token in alone] if alone else ():
             for a, b in ((j, j + 1), (j - 1, j)):
@@ -485,16 +529,14 @@ class Asker:
                     x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
                     if x.isalpha() and y.isalpha() and (x + y in known or counts.maybe(x + y)):
                         out.update(("", w) for w in (x, y, x + y) if w not in known and counts.maybe(w))
-        lines = text.split("\n")
-        for i, line in enumerate(lines[:-1]):
-            end = line.rstrip()
-            if end[-1:] in HYPHENS or end[-2:-1] in HYPHENS:
-                m = _cut(end)
-                after = lines[i + 1].split(None, 1) if m else None
-                if after:
-                    counts.asked.clear()
-                    line_end(m.group(1), m.group(2), after[0], counts)
-                    out.update(("", w) for w in counts.asked)
+        for found in _HYPHEN_END.finditer(text):
+            m = _cut(text[text.rfind("\n", 0, found.start()) + 1 : found.end()].rstrip())
+            stop = text.find("\n", found.end())
+            after = text[found.end() : stop if stop >= 0 else None].split(None, 1) if m else None
+            if after:
+                counts.asked.clear()
+                end_state(m.group(1), m.group(2), after[0], counts)
+                out.update(("", w) for w in counts.asked)
         return out
 
 
@@ -509,11 +551,32 @@ class Editor:
         self.weights = weights
         self.trusted = trusted_words(known) if trusted is None else trusted
         self.seen: dict[str, tuple[str, list]] = {}
+        #: Trusted words, and tokens that are neither edited nor joined whatever counts a page has got.
+        self.plain = set(self.trusted)
+        #: Scores of the parts that take few values: line ends, and what an edit has from its page.
+        self.ends: dict[tuple, float] = {}
+        self.passed: dict[tuple, float] = {}
 
     def _good(self, kind: str, feats: list[str]) -> float:
         w = self.weights.get(kind)
         return sum([w.get(f, 0.0) for f in feats]) if w else 0.0
 
+    def _end(self, left: str, mark: str, right: str, known) -> float:
+        state = end_state(left, mark, right, known)
+        if state is None:
+            return 0.0
+        score = self.ends.get(state)
+        if score is None:
+            score = self.ends[state] = self._good("join", end_features(*state))
+        return score
+
+    def _passing(self, kind: str, shape: str, ratio: str, votes: int, hint: bool) -> float:
+        at = kind, shape, ratio, min(votes, 5), hint
+        score = self.passed.get(at)
+        if score is None:
+            score = self.passed[at] = self._good(kind, passing(shape, ratio, votes, hint))
+        return score
+
     def _ops(self, token: str, known) -> tuple[str, list]:
         """(word of the token, its edits with the page-independent part of their score)."""
         c = standing(token, known)
@@ -528,40 +591,44 @@ class Editor:
 
     def edits(self, lines: list[str], skip: set[int], loose: set[tuple[int, int]], hint: bool, known=None, touched: frozenset[str] | set[str] = frozenset()) -> tuple[dict[tuple[int, int], str], set[tuple[int, int]]]:
         """({(line, token): repaired word}, tokens to join with the next one)."""
-        trusted, seen = self.trusted, self.seen
+        trusted, seen, plain = self.trusted, self.seen, self.plain
         known = self.known if known is None else known
         cases, joins = [], set()
         for i, line in enumerate(lines):
             if i in skip:
                 continue
             tokens = line.split()
-            if trusted.issuperset(tokens):
+            if plain.issuperset(tokens):
                 continue
             for j, token in enumerate(tokens):
-                if token in trusted or (i, j) in loose:
+                if token in plain or (i, j) in loose:
                     continue
                 found = seen.get(token)
                 if found is None:
-                    bare = core(token)
-                    if bare in trusted:
-                        found = (bare, None)
-                    else:
-                        found = self._ops(token, self.known)
-                    if len(seen) >= self.REMEMBERED:
+                    sure = (bare := core(token)) in trusted
+                    c, ops = found = (bare, []) if sure else self._ops(token, self.known)
+                    if len(seen) + len(plain) >= self.REMEMBERED + len(trusted):
                         seen.clear()
+                        plain = self.plain = set(trusted)
+                    # Pages get no counts for words that all tasks hold, nor for codes and signs.
+                    if not ops and (sure or c in self.known or len(c) < 2 or not c.isalpha() and (_CODE.match(c) or not _LETTERS.search(c))):
+                        plain.add(token)
+                        continue
                     seen[token] = found
                 c, ops = found
                 if c in touched:
                     c, ops = self._ops(token, known)
                 if ops:
                     cases.append((i, j, c, ops))
-                elif ops is not None and len(c) > 1 and c.isalpha() and c not in known:
+                elif len(c) > 1 and c.isalpha() and c not in known:
                     for a, b, at in ((j, j + 1, j), (j - 1, j, j - 1)):
                         if 0 <= a and b < len(tokens) and (i, at) not in joins and (i, a) not in loose and (i, b) not in loose:
                             x, y = tokens[a].lstrip(_OPEN), core(tokens[b])
                             if x.isalpha() and y.isalpha() and known.get(x + y, 0) > self.least and self._good("join", blank(x, y, known)) > 0:
                                 joins.add((i, at))
                                 break
+        if not cases:
+            return {}, joins
         votes = Counter(w for *_, ops in cases for w in {o[0][1] for o in ops})
         # A short word can be another language's; it is edited only as longer words of the page are.
         firm = {w for _, _, c, ops in cases if len(c) > 3 or not c.isalpha() for w in {o[0][1] for o in ops}}
@@ -573,7 +640,7 @@ class Editor:
                     continue
             if (i, j) in joins or (i, j - 1) in joins:
                 continue
-            best, score = max(((o, base + self._good(o[0], passing(shape, ratio, votes[o[1]], hint))) for o, base, shape, ratio in ops), key=lambda x: x[1])
+            best, score = max(((o, base + self._passing(o[0], shape, ratio, votes[o[1]], hint)) for o, base, shape, ratio in ops), key=lambda x: x[1])
             if score > 0:
                 out[(i, j)] = best[3]
         return out, joins
@@ -589,15 +656,17 @@ class Editor:
         skip = set(out)
         loose: set[tuple[int, int]] = set()
         cuts = set()
-        for i in range(len(lines) - 1):
+        i = at = 0
+        for found in _HYPHEN_END.finditer(text):
+            i += text.count("\n", at, found.start())
+            at = found.start()
             if i in skip or i + 1 in skip:
                 continue
-            end = lines[i].rstrip()
-            m = _cut(end)
+            m = _cut(lines[i].rstrip())
             if m:
                 after = lines[i + 1].split(None, 1)
                 before = lines[i].split()
-                if after and self._good("join", line_end(m.group(1), m.group(2), after[0], known)) > 0:
+                if after and self._end(m.group(1), m.group(2), after[0], known) > 0:
                     cuts.add(i)
                 loose |= {(i, len(before) - 1), (i + 1, 0)}
         if cuts:
@@ -667,20 +736,27 @@ def _survey(pages: DataFrame) -> DataFrame:
         words: Counter = Counter()
         inner: Counter = Counter()
         for b in batches:
-            rows = []
+            edge, rests, rows, inside = [], [], [], []
+            found = pc.utf8_split_whitespace(pa.array(b["t"], pa.large_string())).flatten().value_counts()
+            words.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist())))
             for f, n, t, r in zip(b["f"], b["n"], b["t"], b["r"]):
-                words.update(t.split())
                 lines = t.split("\n")
                 spots = dict(edges(lines))
                 for i, spot in spots.items():
-                    rest, number = split_running(lines[i], n)
-                    if len(lines[i].strip()) <= LONGEST and headlike(rest):
-                        rows.append(("e", f, rest[-1], line_key(rest), n, _key(folded_head(rest)), r, spot))
-                    offset, sure = page_number(lines[i].strip(), n)
+                    line = lines[i].strip()
+                    rest, number = split_running(line, n)
+                    if len(line) <= LONGEST and headlike(rest):
+                        edge.append((f, n, r, spot))
+                        rests.append(rest)
+                    offset, sure = page_number(line, n)
                     offset = page_number(number, n)[0] if number else offset if sure else -99
                     if offset != -99:
                         rows.append(("o", f, None, offset, n, 1, r, spot))
-                inner.update(folded_head(x) for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST)
+                inside += [x for i, x in enumerate(lines) if i not in spots and 0 < len(x.strip()) <= LONGEST]
+            inner.update(folded_heads(inside))
+            if edge:
+                files, places, ids, at = zip(*edge)
+                yield pd.DataFrame({"kind": "e", "file": files, "word": [x[-1] for x in rests], "h": list(map(_key, folded_lines(rests))), "page": places, "n": list(map(_key, folded_heads(rests))), "row": ids, "spot": at})
             if rows:
                 yield pd.DataFrame(rows, columns=["kind", "file", "word", "h", "page", "n", "row", "spot"])
             if len(words) > 300_000 or len(inner) > 300_000:
@@ -717,16 +793,17 @@ def _inside(pages: DataFrame, wanted: DataFrame) -> DataFrame:
         bitmap, mask = shared.value, (1 << BITS) - 1
         inner: Counter = Counter()
         for b in batches:
+            files, inside = [], []
             for f, n, t in zip(b["f"], b["n"], b["t"]):
                 lines = t.split("\n")
                 spots = {i for i, _ in edges(lines)}
-                for i, x in enumerate(lines):
-                    if i in spots or not 0 < len(x := x.strip()) <= LONGEST:
-                        continue
-                    h = line_key(split_running(x, n)[0] if "  " in x else x)
-                    at = h & mask
-                    if bitmap[at >> 3] >> (at & 7) & 1:
-                        inner[f, h] += 1
+                some = [x for i, x in enumerate(map(str.strip, lines)) if i not in spots and 0 < len(x) <= LONGEST]
+                inside += [split_running(x, n)[0] if "  " in x else x for x in some] if "  " in t else some
+                files += [f] * len(some)
+            for f, shape in zip(files, folded_lines(inside)):
+                at = xxhash.xxh3_64_intdigest(shape) & mask
+                if bitmap[at >> 3] >> (at & 7) & 1:
+                    inner[f, _key(shape)] += 1
             if len(inner) > 300_000:
                 yield flush(inner)
         if inner:
@@ -747,14 +824,17 @@ def _furniture(survey: DataFrame, pages_of: DataFrame, pages: DataFrame) -> Data
     pages only. Neither begins as lines inside pages do, unless it has one place on 3 pages and the whole line is hardly
     ever inside, in its file and in all. A printed offset is on a twentieth of the pages, or on 3 pages that are no more than NEAR apart."""
     edge = survey.filter("kind = 'e'").select(F.col("file").alias("f"), "h", "page", F.col("n").alias("head"), F.col("row").alias("r"), "spot", F.col("word").isin(".", "!", "?").alias("stop"))
-    steady = edge.groupBy("f", "h", "head", "spot").agg(F.count_distinct("page").alias("n")).groupBy("f", "h", "head").agg(F.max("n").alias("steady"))
-    by_file = edge.groupBy("f", "h", "head").agg(F.count_distinct("page").alias("n"), F.max("stop").alias("stop")).join(steady, ["f", "h", "head"])
+    # The four spots are bits, so that one row of a page tells all that the line has there.
+    on_page = edge.groupBy("f", "h", "head", "page").agg(F.bit_or(F.expr("shiftleft(1, spot & 3)")).alias("spots"), F.max("stop").alias("stop"))
+    steady = F.greatest(*[F.count_if(F.col("spots").bitwiseAND(1 << i) > 0) for i in range(4)])
+    by_file = materialize(on_page.groupBy("f", "h", "head").agg(F.count("*").alias("n"), F.max("stop").alias("stop"), steady.alias("steady")), "by-file")
     corpus = by_file.groupBy("h").agg(F.sum("n").alias("all"), F.count("*").alias("files"))
     heads = by_file.groupBy("head").agg(F.sum("n").alias("at_edge"))
     inner = survey.filter("kind = 'm'").groupBy(F.col("h").alias("head")).agg(F.sum("n").alias("inner"))
-    judged = by_file.join(corpus, "h").join(heads, "head").join(inner, "head", "left").join(pages_of, "f").withColumn("inner", F.coalesce("inner", F.lit(0)))
+    judged = by_file.join(corpus, "h").filter((F.col("n") >= 2) | (F.col("files") >= 2))
+    judged = judged.join(heads, "head").join(inner, "head", "left").join(pages_of, "f").withColumn("inner", F.coalesce("inner", F.lit(0)))
     often = (F.col("n") >= 2) & (F.col("n") >= 0.1 * F.col("pages")) | (F.col("steady") >= F.when(F.col("stop"), 3).otherwise(2))
-    judged = materialize(judged.filter((F.col("n") >= 2) | (F.col("files") >= 2)), "judged")
+    judged = materialize(judged, "judged")
     begins = F.col("inner") > 0.2 * F.col("at_edge")
     firm = (F.col("steady") >= 3) & ~F.col("stop") & begins
     inside = materialize(_inside(pages, judged.filter(firm).select("h").distinct()), "inside")
@@ -784,12 +864,11 @@ def _bitmap(hashed: DataFrame) -> bytes:
 
 def _rarer(pages: DataFrame, counts: DataFrame, shared) -> DataFrame:
     """(r, more): the counts of rarer words that each page needs. ``counts`` has word and n of words that not all tasks
-    hold; ``shared`` is the broadcast that the editor is made of."""
+    hold; ``shared`` is the broadcast editor."""
     bitmap = pages.sparkSession.sparkContext.broadcast(_bitmap(counts.select(F.xxhash64("word").alias("h"))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, _, _, trusted = shared.value
-        asker = Asker(known, bitmap.value, trusted)
+        asker = Asker(shared.value.known, bitmap.value, shared.value.trusted)
         for b in batches:
             rows = [(r, c, w) for r, t in zip(b["r"], b["t"]) for c, w in asker.page(t)]
             if rows:
@@ -819,12 +898,13 @@ def repaired(pages: DataFrame, key: str, file: str, page_num: str, text: str, ne
     known = {r.word: r.n for r in counts.filter(F.col("n") >= sent).collect()}
     clean = full.filter(~F.col("hint")).orderBy(F.xxhash64("k"), "k").limit(TRAINING_PAGES).select("t")
     weights = train([r.t for r in clean.collect()], known, TRUSTED_LEAST)
-    shared = pages.sparkSession.sparkContext.broadcast((known, TRUSTED_LEAST, weights, trusted_words(known)))
+    # What an editor remembers of words lasts as long as the Python process, over all its tasks.
+    shared = pages.sparkSession.sparkContext.broadcast(Editor(known, TRUSTED_LEAST, weights))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        editor = Editor(*shared.value)
+        editor = shared.value
         for b in batches:
-            done = [editor.page(t, n, set(u) if u is not None else set(), set(o) if o is not None else set(), h, want_text, [(x["c"], x["word"], x["n"]) for x in m] if m is not None else None) for t, n, u, o, h, m in zip(b["t"], b["n"], b["furniture"], b["offsets"], b["hint"], b["more"])]
+            done = [editor.page(t, n, set(u.tolist()) if u is not None else set(), set(o.tolist()) if o is not None else set(), h, want_text, [(x["c"], x["word"], x["n"]) for x in m] if m is not None else None) for t, n, u, o, h, m in zip(b["t"], b["n"], b["furniture"], b["offsets"], b["hint"], b["more"])]
             yield pd.DataFrame({key: b["k"], "defects": [d for d, _ in done], "repaired": pd.Series([x for _, x in done], dtype="object")})
 
     joined = full.join(_furniture(survey, pages_of, full), ["f", "r"], "left")

@@ -136,6 +136,42 @@ def test_page_numbers_follow_the_page():
     assert S.furniture_lines(["102", "165", "73", "text of the page"], 5, set(), set()) == {}
 
 
+def test_lines_fold_together_as_alone():
+    def alone(line):
+        s = S.re.sub(r"(?<![^\W\d_])\d+(?![^\W\d_])", "#", " ".join(line.lower().split()))
+        for many, one in S._FOLD_MANY:
+            s = s.replace(many, one)
+        return s.encode().translate(S._FOLD_ONE, S._FOLD_AWAY)
+
+    lines = ["", "r", "n", "12", "a12 12b 1,234 x9y", " \t", "ΟΔΟΣ", "ΣΑΣ", "Σ", "İI\x85l", "a\u2028b\xa0 c", "c", "l", "日本 2024年", "`'~", "٣٤ pages", "vvrnii 7", "9"]
+    assert S.folded_lines(lines) == [alone(x) for x in lines] and S.folded_lines([]) == []
+    assert S.folded_heads(lines * 2) == [S.folded_head(x) for x in lines] * 2
+
+
+def test_pages_of_the_same_words_are_judged_once(monkeypatch):
+    rng = random.Random(9)
+    known = {w: 500 for w in WORDS}
+    pages = ["\n".join(" ".join(f"({r})," for _, r in S.damage(line.split(), rng)) for line in clean_page(rng).split("\n")) for _ in range(4)] + ["treat-\nment was"]
+    editor, asker = S.Editor(known, 4, S.train([clean_page(rng) for _ in range(40)], known, 4)), S.Asker(known, b"\xff" * (1 << S.BITS - 3), S.trusted_words(known))
+    calls = dict.fromkeys(("passing", "lasting", "end_features"), 0)
+
+    def counted(name, f):
+        def run(*a):
+            calls[name] += 1
+            return f(*a)
+
+        return run
+
+    for name in calls:
+        monkeypatch.setattr(S, name, counted(name, getattr(S, name)))
+    run = lambda: [(editor.page(p, 0, set(), set(), False, True), asker.page(p)) for p in pages]
+    first = run()
+    spent, before = dict(calls), [len(editor.plain), len(asker.idle)]
+    assert run() == first and any("char" in d for (d, _), _ in first) and any(asked for _, asked in first)
+    assert calls == spent and all(spent.values())
+    assert [len(editor.plain), len(asker.idle)] == before and min(before) > len(editor.trusted)
+
+
 def test_scans_with_odd_rows(spark, odd_rows):
     out = S.repaired(odd_rows, "page_id", "file_id", "page_num", "text", "needs_ocr").collect()
     assert len(out) == 6 and sum(r.repaired is None for r in out) == 1
