@@ -77,24 +77,50 @@ def best_by_words(left: DataFrame, right: DataFrame, left_id: str, left_text: st
     return first_by(score, ["a"], F.desc("score"), F.col("b")).select(F.col("a").alias(left_id), F.col("b").alias(right_id), "score")
 
 
+#: Token sets of up to so many tokens meet by pairs of tokens, for every two sizes; longer ones by single tokens.
+SHORT_SET = 40
+
+
 def similar_titles(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, least: float) -> DataFrame:
     """(left_id, right_id, common, total) of every pair whose token sets reach a Jaccard similarity of ``least``.
 
-    Exact prefix filter: two such sets share one of the rarest ``n - ceil(least * n) + 1`` tokens of either, so only
-    those are indexed and joined.
+    Exact filters: sets of m and n tokens must have c = least / (1 + least) * (m + n) in common, so they share two of the
+    rarest m - c + 2 and n - c + 2 tokens; those pairs, with both sizes, are indexed and joined. A set carries 64 bits,
+    one by the hash of each token: two sets differ in at least as many tokens as bits. Equal sets are compared once.
     """
-    a = left.select(F.col(left_id).alias("a"), X.tokens(F.col(left_text)).alias("ta")).filter(F.size("ta") > 0)
-    b = right.select(F.col(right_id).alias("b"), X.tokens(F.col(right_text)).alias("tb")).filter(F.size("tb") > 0)
-    df = a.select(F.explode("ta").alias("w")).union(b.select(F.explode("tb").alias("w"))).groupBy("w").count()
-
-    def prefix(rows: DataFrame, key: str, tokens: str) -> DataFrame:
-        ranked = rows.select(key, F.size(tokens).alias("n"), F.explode(tokens).alias("w")).join(df, "w")
-        ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("count", "w")))
-        return ranked.filter(F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select(key, "w")
-
-    near = prefix(a, "a", "ta").join(prefix(b, "b", "tb"), "w").select("a", "b").distinct()
-    sized = near.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"), F.size(F.array_union("ta", "tb")).cast("long").alias("total"))
-    return sized.filter(F.col("common") >= least * F.col("total")).select(F.col("a").alias(left_id), F.col("b").alias(right_id), "common", "total")
+    from leafmill.session import materialize
+
+    def sets(rows: DataFrame, key: str, text: str) -> DataFrame:
+        some = rows.select(F.col(key).alias("id"), F.array_sort(X.tokens(F.col(text))).alias("t")).filter(F.size("t") > 0)
+        return materialize(some.groupBy("t").agg(F.collect_list(F.struct("id")).alias("ids")).withColumn("s", F.monotonically_increasing_id()), "sets")
+
+    a, b = sets(left, left_id, left_text), sets(right, right_id, right_text)
+    df = a.select(F.explode("t").alias("w")).union(b.select(F.explode("t").alias("w"))).groupBy("w").count()
+    need = lambda m, n: F.ceil(least / (1 + least) * (m + n) - 1e-9).cast("int")
+
+    def index(rows: DataFrame, side: str) -> DataFrame:
+        """(k, s, m, bits) with the set's number and size under names of the side: a row per key that a set can be met by."""
+        ranked = rows.select("s", F.explode("t").alias("w")).join(df.hint("merge"), "w").groupBy("s").agg(F.sort_array(F.collect_list(F.struct("count", "w"))).alias("r"))
+        ranked = ranked.select("s", F.transform("r", lambda x: x.w).alias("r"), F.size("r").alias("m"))
+        ranked = ranked.withColumn("bits", F.aggregate("r", F.lit(0).cast("long"), lambda x, w: x.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(w), F.lit(64))))))
+        low, high = F.ceil(F.col("m") * least - 1e-9).cast("int"), F.least(F.lit(SHORT_SET), F.floor(F.col("m") / least + 1e-9)).cast("int")
+        short = ranked.filter(F.col("m") <= SHORT_SET).withColumn("n", F.explode(F.sequence(F.greatest(F.lit(1), low), high))).withColumn("c", need(F.col("m"), F.col("n")))
+        sizes = ("m", "n") if side == "a" else ("n", "m")
+        short = short.withColumn("p", F.slice("r", F.lit(1), F.col("m") - F.col("c") + F.least(F.lit(2), F.col("c"))))
+        two = F.flatten(F.transform("p", lambda x, i: F.transform(F.slice("p", i + 2, F.size("p")), lambda y: F.xxhash64(x, y, *sizes))))
+        one = F.transform("p", lambda x: F.xxhash64(x, *sizes))
+        short = short.select(F.explode(F.when(F.col("c") > 1, two).otherwise(one)).alias("k"), "s", "m", "bits")
+        long = ranked.filter(F.floor(F.col("m") / least + 1e-9) > SHORT_SET)
+        long = long.select(F.explode(F.transform(F.slice("r", F.lit(1), (F.col("m") - F.ceil(F.col("m") * least - 1e-9) + 1).cast("int")), lambda x: F.xxhash64(x))).alias("k"), "s", "m", "bits")
+        return short.union(long).select("k", F.col("s").alias(side), F.col("m").alias(f"m{side}"), F.col("bits").alias(f"bits_{side}"))
+
+    # Spark takes a generator's rows for as few as those it reads, so the size of a side with one is no reason to send it to all tasks.
+    near = index(a, "a").join(index(b, "b").hint("merge"), "k")
+    near = near.filter(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= F.col("ma") + F.col("mb") - 2 * need(F.col("ma"), F.col("mb"))).select("a", "b").distinct()
+    ta, tb = a.select(F.col("s").alias("a"), F.col("t").alias("ta"), F.col("ids").alias("as")), b.select(F.col("s").alias("b"), F.col("t").alias("tb"), F.col("ids").alias("bs"))
+    sized = near.hint("merge").join(ta, "a").hint("merge").join(tb, "b").withColumn("common", F.size(F.array_intersect("ta", "tb")).cast("long")).withColumn("total", F.size("ta") + F.size("tb") - F.col("common"))
+    found = sized.filter(F.col("common") >= least * F.col("total")).select(F.explode("as.id").alias("a"), "bs", "common", "total")
+    return found.select(F.col("a").alias(left_id), F.explode("bs.id").alias(right_id), "common", "total")
 
 
 def same_record(hint: Column, authors: Column, title_a: Column, title_b: Column, least: float = 0.5) -> Column:

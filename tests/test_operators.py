@@ -2,6 +2,7 @@
 
 import datetime
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,3 +211,30 @@ def test_containment_inside_words_and_keyword_join(spark):
     right = spark.createDataFrame([(5, "common alpha"), (6, "alpha common"), (7, "common beta")], "j long, u string")
     assert sorted(tuple(r) for r in M.best_by_words(left, right, "i", "t", "j", "u").collect()) == [(1, 5, 3), (2, 5, 2)]
     assert M.best_by_words(left, right.limit(0), "i", "t", "j", "u").count() == 0
+
+
+def test_jaccard_join_sizes_repeats_and_null_ids(spark):
+    from leafmill.operators import matching as M
+
+    draw = random.Random(3)
+    words = [f"w{i:02d}" for i in range(14)] + [f"v{i:03d}" for i in range(60)]
+    make = lambda: [" ".join(draw.sample(words[:14] if draw.random() < 0.7 else words, draw.choice([1, 2, 3, 5, 8, 13, 30, 40, 41, 55]) % 14 + 1)) for _ in range(60)]
+    base = [draw.sample(words, n) for n in (29, 30, 31, 39, 40, 41, 54, 60)]
+    long = lambda: [" ".join(t[: len(t) - draw.randrange(len(t) // 3)]) for t in base for _ in range(4)]
+    left, right = [make() + long() + ["equal name here"] * 3 for _ in "ab"]
+    a, b = [[(i or None, t) for i, t in enumerate(x)] for x in (left, right)]
+    for least in (0.75, 0.5):
+        got = sorted((r.x or 0, r.y or 0, r.common, r.total) for r in M.similar_titles(spark.createDataFrame(a, "x int, t string"), spark.createDataFrame(b, "y int, t string"), "x", "t", "y", "t", least).collect())
+        sets = [[set(t.split()) for t in x] for x in (left, right)]
+        want = sorted((i, j, len(s & t), len(s | t)) for i, s in enumerate(sets[0]) for j, t in enumerate(sets[1]) if len(s & t) >= least * len(s | t))
+        assert got == want and len(got) > 9
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_generated_side_of_the_jaccard_join_is_broadcast(spark, data):
+    from leafmill.plans import catalogue
+
+    assert "BroadcastHashJoin" not in _plan(catalogue.QUERIES["j_jaccard_inverted"](spark, data))
