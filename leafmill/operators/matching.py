@@ -42,19 +42,39 @@ def unique_containment(left: DataFrame, right: DataFrame, left_id: str, left_tex
     """(left_id, right_id) where exactly one right text contains, or is contained in, the left text, case apart.
 
     Every run of ``run`` characters of the contained text is one of the other, its rarest run included, so the pairs come
-    from an equi-join on runs and not from a product; the text may begin and end inside a word. Texts under ``least``
-    characters, which is no less than ``run``, take no part.
+    from an equi-join on runs and not from a product; the text may begin and end inside a word. Of ``span`` runs in a row
+    the one of the lowest hash is enough, on either side; a text with one that no text of the other side has is contained in none.
+    Equal texts are compared once. Texts under ``least`` characters, which is no less than ``run``, take no part.
     """
+    from leafmill.session import materialize
+
     run = min(8, least)
-    words = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - run + 1), lambda i: F.substring(c, i, F.lit(run))))
-    a = left.select(F.col(left_id).alias("a"), F.lower(left_text).alias("ta")).filter(F.length("ta") >= least)
-    b = right.select(F.col(right_id).alias("b"), F.lower(right_text).alias("tb")).filter(F.length("tb") >= least)
-    wa, wb = a.select("a", F.explode(words(F.col("ta"))).alias("w")), b.select("b", F.explode(words(F.col("tb"))).alias("w"))
-    df = wa.groupBy("w").count().withColumnRenamed("count", "na").join(wb.groupBy("w").count().withColumnRenamed("count", "nb"), "w").select("w", (F.col("na") * F.col("nb")).alias("n"))
-    rare_a, rare_b = first_by(wa.join(df, "w"), ["a"], F.col("n"), F.col("w")), first_by(wb.join(df, "w"), ["b"], F.col("n"), F.col("w"))
-    near = rare_a.select("a", "w").join(wb, "w").select("a", "b").union(rare_b.select("b", "w").join(wa, "w").select("a", "b")).distinct()
-    pairs = near.join(a, "a").join(b, "b").filter(F.col("ta").contains(F.col("tb")) | F.col("tb").contains(F.col("ta")))
-    return pairs.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b")).filter("n = 1").select(F.col("a").alias(left_id), F.col("b").alias(right_id))
+    span = min(3, least - run + 1)
+
+    def texts(rows: DataFrame, key: str, text: str) -> DataFrame:
+        some = rows.select(F.col(key).alias("id"), F.lower(text).alias("t")).filter(F.length("t") >= least)
+        some = some.groupBy("t").agg(F.collect_list(F.struct("id")).alias("ids")).withColumn("s", F.monotonically_increasing_id())
+        h = F.transform(F.sequence(F.lit(1), F.length("t") - run + 1), lambda i: F.xxhash64(F.substring(F.col("t"), i, F.lit(run))))
+        some = some.withColumn("h", h).withColumn("ws", F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("h") - span + 1), lambda i: F.array_min(F.slice("h", i, span)))))
+        return materialize(some.drop("h"), "texts")
+
+    def rarest(runs: DataFrame, other: DataFrame) -> DataFrame:
+        """(s, w): of each text the run that the fewest texts of the other side have, where they have all of its runs."""
+        seen = runs.join(other.groupBy("w").agg(F.count("*").alias("n")).hint("merge"), "w", "left").groupBy("s").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w")).alias("m"))
+        return seen.filter("m.n > 0").select("s", "m.w")
+
+    # Spark takes a generator's rows for as few as those it reads, so the size of a side with one is no reason to send it to all tasks.
+    a, b = texts(left, left_id, left_text), texts(right, right_id, right_text)
+    ra, rb = a.select("s", F.explode("ws").alias("w")), b.select("s", F.explode("ws").alias("w"))
+    inside = rarest(ra, rb).select(F.col("s").alias("a"), "w").join(rb.select(F.col("s").alias("b"), "w").hint("merge"), "w").select("a", "b")
+    around = rarest(rb, ra).select(F.col("s").alias("b"), "w").join(ra.select(F.col("s").alias("a"), "w").hint("merge"), "w").select("a", "b")
+    near = inside.union(around).distinct()
+    ta, tb = a.select(F.col("s").alias("a"), F.col("t").alias("ta")), b.select(F.col("s").alias("b"), F.col("t").alias("tb"), F.size("ids").alias("n"), F.array_min("ids").getField("id").alias("id"))
+    pairs = near.hint("merge").join(ta, "a").hint("merge").join(tb, "b").filter(F.col("ta").contains(F.col("tb")) | F.col("tb").contains(F.col("ta")))
+    once = pairs.groupBy("a").agg(F.sum("n").alias("n"), F.min("id").alias("b"))
+    found = once.hint("merge").join(a.select(F.col("s").alias("a"), F.explode("ids.id").alias("id")), "a")
+    # A repeated left id counts with all its texts.
+    return found.groupBy("id").agg(F.sum("n").alias("n"), F.min("b").alias("b")).filter("n = 1").select(F.col("id").alias(left_id), F.col("b").alias(right_id))
 
 
 def best_by_words(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, longer_than: int = 3, least: int = 2) -> DataFrame:

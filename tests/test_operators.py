@@ -238,3 +238,18 @@ def test_no_generated_side_of_the_jaccard_join_is_broadcast(spark, data):
     from leafmill.plans import catalogue
 
     assert "BroadcastHashJoin" not in _plan(catalogue.QUERIES["j_jaccard_inverted"](spark, data))
+
+
+def test_containment_join_broadcasts_nothing_and_counts_repeats(spark, data):
+    from leafmill.operators import matching as M
+    from leafmill.plans import catalogue
+
+    assert "BroadcastHashJoin" not in _plan(catalogue.QUERIES["j_title_contains_unique"](spark, data))
+    draw = random.Random(5)
+    text = "".join(draw.choice("ab") for _ in range(400))
+    cut = lambda: text[(i := draw.randrange(340)) : i + draw.randrange(9, 60)]
+    a, b = [[(i, cut().upper()) for i in range(60)] + [(i + 100, text[30 + i : 42 + i]) for i in (0, 0, 7)] for _ in "ab"]
+    b += [(200 + i, t) for i, t in b[-3:]] + [(300, text[100:230])]
+    got = sorted(tuple(r) for r in M.unique_containment(spark.createDataFrame(a, "x int, t string"), spark.createDataFrame(b, "y int, t string"), "x", "t", "y", "t").collect())
+    met = [(i, j) for i, s in a for j, t in b if len(s) > 9 and len(t) > 9 and (s.lower() in t.lower() or t.lower() in s.lower())]
+    assert got == sorted(p for p in met if sum(i == p[0] for i, _ in met) == 1) and got
