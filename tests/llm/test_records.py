@@ -334,3 +334,15 @@ def test_mix_reaches_the_shares(spark):
     got = {r.source: r.actual_share for r in X.shares(mixed, targets).collect()}
     assert got["gone"] == 0 and all(abs(got[s] - t / 0.9) < 0.01 for s, t in (("a", 0.5), ("b", 0.3), ("c", 0.1)))
     assert X.mix(sized.limit(0), targets, "doc_id").count() == 0 and X.mix(sized, targets.limit(0), "doc_id").count() == 0
+
+
+def test_ngrams_of_a_reading_are_stored_once(spark, monkeypatch):
+    made = {}
+    keep = N.materialize
+    monkeypatch.setattr(N, "materialize", lambda df, name="stage": made.setdefault(name, keep(df, name)))
+    ends = ["Halvorsen", "Halvorson", "Halversen", "Kowalczyk", "Kowalcyk", "Ng", "Brandt", "Brand", "Lindqvist", "Lindquist"]
+    people = [f"{g} {s}" for g in ("Anna", "A.", "Boris", "Clara Maria") for s in ends] + ["Halvorsen, Anna", "Ng"]
+    got = {(r.a, r.b) for r in N.similar_pairs(spark.createDataFrame([("author", n) for n in people], "kind string, name string")).collect()}
+    held = [df for df in made.values() if "els" in df.columns]
+    assert held and sum(df.count() for df in held) == made["readings"].count()
+    assert ("Anna Halversen", "Anna Halvorsen") in got
